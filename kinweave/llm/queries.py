@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import bpe, mixing, token_counts
+from kinweave.llm import ann, bpe, minhash, mixing, quality, shards, spotsigs, token_counts, toxicity, warc
+from kinweave.session import working_dir
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
@@ -23,6 +25,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), columns=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     docs = table(spark, sf_dir, "documents")
@@ -35,12 +43,110 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    scored = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), columns=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes every document's sequences as shards in the shared folder; the index of all records."""
+    path = f"{working_dir(spark)}/kinweave/shards-{uuid.uuid4().hex}"
+    return shards.write_shards(table(spark, sf_dir, "documents"), path)
+
+
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each text and its edited text, and their likeness."""
+    rows = spotsigs.with_next(table(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
+    rows = rows.select("id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "spots", "next_spots", spotsigs.spot_set(F.col("edited")).alias("edited_spots"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        "edited_sha256",
+        spotsigs.as_text(F.col("spots")).alias("fingerprint"),
+        spotsigs.as_text(F.col("edited_spots")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
+        spotsigs.likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
+    )
+
+
 def op7_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "repetitions", "taken")
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Each page as a full response, and its later revisit, answered "not modified"."""
+    html = F.coalesce("html", F.lit(""))
+    at = F.col("page_id") * 60
+    base = pages.select(
+        "page_id", "url", "html", at.alias("at"),
+        F.concat(F.lit('"'), F.md5(html.cast("binary")), F.lit('"')).alias("etag"),
+        F.octet_length(html).cast("string").alias("length"),
+    )
+    full = F.create_map(
+        F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), F.col("length"),
+        F.lit("date"), F.col("at").cast("string"), F.lit("etag"), F.col("etag"), F.lit("server"), F.lit("full"),
+    )
+    later = F.col("at") + 86_400
+    again = F.create_map(
+        F.lit("content-length"), F.lit("0"), F.lit("date"), later.cast("string"), F.lit("etag"), F.concat(F.lit("W/"), F.col("etag")),
+        F.lit("cache-control"), F.lit("max-age=60"), F.lit("server"), F.lit("again"),
+    )
+    responses = base.select((F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("kind"), "url", F.col("at").alias("captured"), full.alias("headers"), F.col("html").alias("payload"))
+    revisits = base.select((F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("kind"), "url", later.alias("captured"), again.alias("headers"), F.lit(None).cast("string").alias("payload"))
+    return responses.unionByName(revisits)
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits derived from every page, with what they resolve to."""
+    done = warc.resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return done.select(
+        "record_id", "canonical", "captured", "refers_to", "refers_captured", "verdict",
+        F.array_join(lines, "\n").alias("headers"),
+        F.sha2(F.col("payload").cast("binary"), 256).alias("payload_sha256"),
+    )
+
+
+OP8_SQL = r"""
+WITH keyed AS (
+  SELECT page_id, page_id * 60 AS at, coalesce(html, '') AS html, '"' || md5(coalesce(html, '')) || '"' AS etag,
+    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare
+  FROM pages),
+canon AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)), '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), f -> f <> '' AND NOT starts_with(f, 'utm_'))) AS q FROM keyed)),
+best AS (
+  SELECT r.page_id, r.canonical, r.at + 86400 AS captured, r.etag, max(f.at) AS fat
+  FROM canon r LEFT JOIN canon f ON f.canonical = r.canonical AND f.at < r.at + 86400
+  GROUP BY ALL),
+pick AS (
+  SELECT b.*, max(f.page_id) AS fid FROM best b LEFT JOIN canon f ON f.canonical = b.canonical AND f.at = b.fat GROUP BY ALL)
+SELECT p.page_id * 2 + 1 AS record_id, p.canonical, p.captured, p.fid * 2 AS refers_to, p.fat AS refers_captured,
+  CASE WHEN f.etag = p.etag THEN 'valid' ELSE 'mismatch' END AS verdict,
+  CASE WHEN f.etag = p.etag THEN 'cache-control: max-age=60' || chr(10) || 'content-length: ' || strlen(f.html) || chr(10) || 'content-type: text/html'
+      || chr(10) || 'date: ' || p.captured || chr(10) || 'etag: W/' || p.etag || chr(10) || 'server: full'
+    ELSE 'cache-control: max-age=60' || chr(10) || 'content-length: 0' || chr(10) || 'date: ' || p.captured || chr(10) || 'etag: W/' || p.etag || chr(10) || 'server: again' END AS headers,
+  CASE WHEN f.etag = p.etag THEN sha256(f.html) END AS payload_sha256
+FROM pick p JOIN canon f ON f.page_id = p.fid
+"""
+
+
+def op9_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, similarity 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word-piece lengths of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -48,9 +154,16 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bradley_terry": op1_bradley_terry,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_text_cnn": op3_text_cnn,
+    "op4_multiprobe_lsh": op4_multiprobe_lsh,
+    "op5_training_order": op5_training_order,
+    "op6_spotsigs": op6_spotsigs,
     "op7_water_filling": op7_water_filling,
+    "op8_warc_revisits": op8_warc_revisits,
+    "op9_bbit_minhash": op9_bbit_minhash,
     "op10_piece_counts": op10_piece_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_warc_revisits": OP8_SQL}
