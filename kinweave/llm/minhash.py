@@ -289,22 +289,23 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     band = F.floor(F.log("n") / -math.log(threshold)).cast("int")
     placed = materialise(placed.join(several, "cluster").withColumn("band", band), "mh-open")
     whole = placed.groupBy("cluster", "band", "component").agg(F.count("*").alias("size"))
-    whole = whole.withColumn("own", F.when(F.col("size") > BLOCK, F.col("component")))  # a component with blocks of its own
-    pools = whole.groupBy("cluster", "band", "own").agg(F.sum("size").alias("total"))
+    # A component larger than a block has blocks of its own; the others of a cluster share theirs.
+    whole = whole.withColumn("pool", F.when(F.col("size") > BLOCK, F.col("component").cast("string")).otherwise(""))
+    pools = whole.groupBy("cluster", "band", "pool").agg(F.sum("size").alias("total"))
     placed = (
-        placed.join(whole.select("cluster", "band", "component", "own"), ["cluster", "band", "component"])
-        .join(pools.withColumnRenamed("own", "own_").alias("p"), (F.col("p.cluster") == placed.cluster) & (F.col("p.band") == placed.band) & F.col("own_").eqNullSafe(F.col("own")))
-        .select("node", placed.cluster, placed.band, "component", "own", F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / BLOCK)).alias("salt"))
-        .withColumn("block", F.xxhash64("cluster", "band", F.coalesce("own", F.lit(-1)), "salt"))
+        placed.join(whole.drop("size"), ["cluster", "band", "component"])
+        .join(pools, ["cluster", "band", "pool"])
+        .withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / BLOCK)))
+        .select("node", "cluster", "band", "component", "pool", F.xxhash64("cluster", "band", "pool", "salt").alias("block"))
     )
     placed = materialise(placed, "mh-placed")
-    blocks = materialise(placed.select("cluster", "band", "own", "block").distinct(), "mh-blocks")
+    blocks = materialise(placed.select("cluster", "band", "pool", "block").distinct(), "mh-blocks")
     one, two = blocks.alias("x"), blocks.alias("y")
     meets = (
         (F.col("x.cluster") == F.col("y.cluster"))
         & (F.col("x.block") <= F.col("y.block"))
         & (F.abs(F.col("x.band") - F.col("y.band")) <= 1)
-        & ~F.coalesce(F.col("x.own") == F.col("y.own"), F.lit(False))
+        & ((F.col("x.pool") == "") | (F.col("x.pool") != F.col("y.pool")))
     )
     duels = one.join(two, meets).select(F.col("x.block").alias("b0"), F.col("y.block").alias("b1"))
     seats = duels.select("b0", "b1", F.explode(F.expr("if(b0 = b1, array(struct(b0 as block, 0 as side)), array(struct(b0 as block, 0 as side), struct(b1 as block, 1 as side)))")).alias("s"))

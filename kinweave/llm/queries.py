@@ -125,7 +125,7 @@ canon AS (
   SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)), '^www\.', ''), ':(80|443)$', '')
     || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
     || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical
-  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), f -> f <> '' AND NOT starts_with(f, 'utm_'))) AS q FROM keyed)),
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda f: f <> '' AND NOT starts_with(f, 'utm_'))) AS q FROM keyed)),
 best AS (
   SELECT r.page_id, r.canonical, r.at + 86400 AS captured, r.etag, max(f.at) AS fat
   FROM canon r LEFT JOIN canon f ON f.canonical = r.canonical AND f.at < r.at + 86400
