@@ -19,8 +19,23 @@ ANCHORS = (
     "el los las del y en se no lo con para su al como más"
 ).split()
 
-#: The anchor, then two content words; anchors in between are marked with # as well.
-CHAIN = r"#(?=(\S+(?: #\S+)* [^# ]\S*(?: #\S+)* [^# ]\S*))"
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _signatures(runs: Column) -> Column:
+    """The hashes of every anchor with the two content words after it, from ``runs``.
+
+    A run is a content word and the anchors (marked with #) that follow it.
+    """
+    three = F.arrays_zip(runs.alias("a"), F.slice(runs, F.lit(2), F.size(runs)).alias("b"), F.slice(runs, F.lit(3), F.size(runs)).alias("c"))
+    whole = F.slice(three, F.lit(1), F.greatest(F.size(three) - 2, F.lit(0)))
+    anchors = lambda run: F.array_distinct(F.filter(F.split(run, " "), lambda w: w.startswith("#")))
+    word = lambda run: F.substring_index(run, " ", 1)
+    each = F.transform(F.filter(whole, lambda x: x["a"].contains("#")), lambda x: F.transform(anchors(x["a"]), lambda w: F.hash(w, word(x["b"]), word(x["c"]))))
+    return F.array_sort(F.array_distinct(F.flatten(each)))
 
 
 def spot_set(text: Column) -> Column:
@@ -32,10 +47,12 @@ def spot_set(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     marked = F.concat(F.lit("#^ "), F.array_join(F.transform(words, lambda w: F.when(w.isin(ANCHORS), F.concat(F.lit("#"), w)).otherwise(w)), " "))
-    chains = F.regexp_extract_all(marked, F.lit(CHAIN), F.lit(1))
-    hashed = F.array_sort(F.array_distinct(F.transform(chains, lambda c: F.hash(F.regexp_replace(c, r" #\S+", "")))))
-    whole = F.array(F.hash(F.lit("whole"), F.when(marked == "#^ ", text).otherwise(marked)))
-    return F.when(F.size(hashed) > 0, hashed).otherwise(whole)
+
+    def whole(runs: Column) -> Column:
+        line = F.array_join(runs, " ")
+        return F.array(F.hash(F.lit("whole"), F.when(line == "#^ ", text).otherwise(line)))
+
+    return _let(F.split(marked, " (?=[^#])"), lambda runs: _let(_signatures(runs), lambda s: F.when(F.size(s) > 0, s).otherwise(whole(runs))))
 
 
 def as_text(spots: Column) -> Column:
