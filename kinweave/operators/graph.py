@@ -29,3 +29,48 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         if not changed:
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def cycle_nodes(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:
+    """The nodes that can belong to a cycle: what is left after peeling.
+
+    Nodes without an edge out or without an edge in are taken away until none is; each
+    round drops them all at once, and the edges left are written down. What remains are
+    cycles and the paths between them; of a graph without cycles, nothing. Loops count.
+    """
+    left = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct(), "peel")
+    size = left.count()
+    for _ in range(max_rounds):
+        outs, ins = left.select("a").distinct(), left.select(F.col("b").alias("a")).distinct()
+        both = outs.join(ins, "a", "left_semi")
+        kept = materialise(left.join(both, "a", "left_semi").join(both.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b"), "peel")
+        now = kept.count()
+        left = kept
+        if now == size:
+            return left.select(F.col("a").alias("node")).distinct()
+        size = now
+    raise RuntimeError(f"peeling did not end in {max_rounds} rounds")
+
+
+def hops(edges: DataFrame, roots: DataFrame, depth: int, a: str = "a", b: str = "b") -> DataFrame:
+    """``root, node, depth``: what each root reaches in at most ``depth`` (0 to 6) steps, at its least depth."""
+    step = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node is not null and next is not null").distinct()
+    front = roots.select(F.col("root"), F.col("root").alias("node")).where("root is not null").distinct().withColumn("depth", F.lit(0))
+    found = front
+    for d in range(1, max(0, min(6, depth)) + 1):
+        front = front.join(step, "node").select("root", F.col("next").alias("node")).distinct().withColumn("depth", F.lit(d))
+        found = found.unionByName(front)
+    return found.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+
+
+def resolve_chains(mapping: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
+    """``source, target`` with chains followed to their end (a to b, b to c: a to c) by pointer jumping.
+
+    Each source has one target. What runs into a cycle ends at the cycle's smallest member.
+    """
+    now = materialise(mapping.select(F.col(source).alias("s"), F.col(target).alias("t"), F.col(source).alias("low")), "chains")
+    for _ in range(max(1, now.count()).bit_length() + 1):  # each jump doubles the steps taken
+        after = now.select(F.col("s").alias("t"), F.col("t").alias("t2"), F.col("low").alias("low2"))
+        now = materialise(now.join(after, "t", "left").select("s", F.coalesce("t2", "t").alias("t"), F.least("low", F.coalesce("low2", "low")).alias("low")), "chains")
+    rounds = now.select(F.col("s").alias("t"), F.col("low").alias("least"))  # t is still a source only on a cycle
+    return now.join(rounds, "t", "left").select(F.col("s").alias(source), F.coalesce("least", "t").alias(target))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("records", "relations")
+MODULES = ("records", "relations", "families")
 
 
 def registered() -> dict[str, tuple]:
