@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("records", "relations", "families")
+MODULES = ("records", "relations", "families", "archive")
 
 
 def registered() -> dict[str, tuple]:
