@@ -109,7 +109,8 @@ def write_shards(
     pieces = F.transform(F.sequence(F.lit(0), F.col("sequences") - 1), lambda i: F.substring(F.col("bytes"), i * length + 1, F.lit(length)))
     cut = rows.withColumn("sequences", sequence_count(F.octet_length("bytes"), length)).select(F.explode(pieces).alias("piece"))
     shards = -(-total // records_per_shard)
-    dealt = placed(cut, "piece").select("shard", "slot", "piece").repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    shard = F.floor(F.col("slot") / records_per_shard).cast("int")  # worked out again after the shuffle, which carries the slot alone
+    dealt = placed(cut, "piece").select("slot", "piece").repartition(shards, shard).withColumn("shard", shard).sortWithinPartitions("shard", "slot")
     record = F.rpad(F.col("piece"), F.lit(length), F.lit(b"\0"))
     dealt.select("shard", record.cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(path)
     written = shard_files(spark, path).agg(F.sum("length")).first()[0]
