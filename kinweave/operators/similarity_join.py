@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,7 +10,7 @@ def one_edit_keys(form: Column) -> Column:
     """The form and all it becomes by leaving one character out: forms one edit apart share one."""
     cut = lambda i: F.concat(F.substring(form, F.lit(1), i - 1), F.substring(form, i + 1, F.char_length(form)))
     shorter = F.transform(F.sequence(F.lit(1), F.char_length(form)), cut)
-    return F.array_distinct(F.concat(F.array(form), F.when(F.char_length(form) > 1, shorter).otherwise(F.array().cast("array<string>"))))
+    return F.array_distinct(F.concat(F.array(form), shorter))
 
 
 def one_edit_pairs(forms: DataFrame, form: str = "form") -> DataFrame:
@@ -28,11 +28,11 @@ def one_edit_pairs(forms: DataFrame, form: str = "form") -> DataFrame:
 def weighted_pairs(forms: DataFrame, threshold: float, form: str = "form", grams: int = 2) -> DataFrame:
     """``a, b, similarity`` with ``a < b`` of forms whose weighted similarity reaches ``threshold``.
 
-    Forms meet if they share a letter pair (or are one letter long) and their lengths
-    allow the threshold; the weighted distance is then worked out once for each pair.
-    Letter pairs are common, so a form is matched on its rarest ones only: the fewest
-    that a similar form cannot all miss. An edit that costs less than one letter still
-    touches at most two letter pairs (a group of three letters, four).
+    Forms meet if they share a letter pair, their ends included; the weighted distance is
+    then worked out once for each pair. Letter pairs are common, so the left side is
+    matched on its rarest ones only: one more than the edits under the threshold can
+    spoil (an edit touches two letter pairs, a group of three letters four). A pair
+    without any common letter pair is not looked at.
     """
     from kinweave.functions.similarity import CHEAP, similarity_udf
 
@@ -41,8 +41,6 @@ def weighted_pairs(forms: DataFrame, threshold: float, form: str = "form", grams
     pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length(padded) - grams + 1), lambda i: F.substring(padded, i, F.lit(grams))))
     exploded = base.select("a", F.size(pieces).alias("n"), F.explode(pieces).alias("gram"))
     common = exploded.groupBy("gram").agg(F.count("*").alias("df"))
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("a").orderBy("df", "gram"))
     # d edits of cost CHEAP fit under the threshold; each spoils at most four letter pairs.
     edits = F.floor((1 - threshold) * F.char_length("a") / threshold / CHEAP)
