@@ -124,7 +124,7 @@ def near_pairs(prints: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     rows = prints.where(F.col(id_col).isNotNull()).select(id_col, "spots", F.xxhash64("spots").alias("h"), F.hash("spots").alias("g"), F.size("spots").alias("n"))
     heads = rows.groupBy("h", "g", "n").agg(F.min(id_col).alias("class_id"))
     members = rows.select(id_col, "h", "g", "n").join(heads, ["h", "g", "n"]).select(id_col, "class_id")
-    classes = rows.join(heads, (rows[id_col] == heads.class_id) & (rows.h == heads.h)).select("class_id", "spots", rows.n.alias("n")).dropDuplicates(["class_id"])
+    classes = rows.withColumnRenamed(id_col, "class_id").join(heads, ["h", "g", "n", "class_id"]).select("class_id", "spots", "n").dropDuplicates(["class_id"])
     each = classes.select("class_id", "n", F.explode("spots").alias("spot"))
     rare = each.groupBy("spot").agg(F.count("*").alias("df"))
     ranked = each.join(rare, "spot").withColumn("place", F.row_number().over(Window.partitionBy("class_id").orderBy("df", "spot")))
