@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("records", "relations", "families", "archive")
+MODULES = ("records", "relations", "families", "kin", "archive")
 
 
 def registered() -> dict[str, tuple]:
