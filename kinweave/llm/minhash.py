@@ -33,6 +33,8 @@ BITS = 4
 BLOCK = 128
 MISS = 1e-6
 BLOOM_BITS = 1 << 25
+#: Tables of at most so many rows of five numbers are sent to every task; larger ones are shuffled.
+MAX_BROADCAST_ROWS = 200_000
 _SHINGLE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -229,6 +231,17 @@ def _block_links(threshold: int, floor_: float):
     return run
 
 
+def _ties(stars: DataFrame, node: str, centre: str) -> DataFrame:
+    """``node, low``: fewer edges with the same components as the stars ``node, centre``.
+
+    A node meets up to one centre a band; the smallest of them stands for all: one edge
+    for each node, and one for each centre and the centre it is tied to.
+    """
+    pairs = stars.select(F.col(node).alias("node"), F.col(centre).alias("centre"))
+    tied = pairs.groupBy("node").agg(F.min("centre").alias("low"))
+    return tied.union(pairs.join(tied, "node").where("centre <> low").select("centre", "low")).distinct()
+
+
 def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` for each row of ``df``.
 
@@ -277,8 +290,8 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     links = materialise(linked.select(F.col("node").alias("a"), F.col("centre").alias("b")), "mh-links")
 
     # Clusters that still hold several components: blocks against blocks.
-    component = connected_components(links)
-    cluster = connected_components(stars, "node", "centre")
+    component = connected_components(_ties(links, "a", "b"), "node", "low")
+    cluster = connected_components(_ties(stars, "node", "centre"), "node", "low")
     placed = (
         nodes.select("node", "n")
         .join(cluster.select("node", F.col("component").alias("cluster")), "node")
@@ -290,11 +303,13 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     placed = materialise(placed.join(several, "cluster").withColumn("band", band), "mh-open")
     whole = placed.groupBy("cluster", "band", "component").agg(F.count("*").alias("size"))
     # A component larger than a block has blocks of its own; the others of a cluster share theirs.
+    whole = materialise(whole, "mh-sizes")
+    hint = F.broadcast if whole.count() <= MAX_BROADCAST_ROWS else (lambda df: df)
     whole = whole.withColumn("pool", F.when(F.col("size") > BLOCK, F.col("component").cast("string")).otherwise(""))
     pools = whole.groupBy("cluster", "band", "pool").agg(F.sum("size").alias("total"))
     placed = (
-        placed.join(whole.drop("size"), ["cluster", "band", "component"])
-        .join(pools, ["cluster", "band", "pool"])
+        placed.join(hint(whole.drop("size")), ["cluster", "band", "component"])
+        .join(hint(pools), ["cluster", "band", "pool"])
         .withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / BLOCK)))
         .select("node", "cluster", "band", "component", "pool", F.xxhash64("cluster", "band", "pool", "salt").alias("block"))
     )
@@ -314,7 +329,7 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     more = seats.join(full, "block").groupBy("b0", "b1").applyInArrow(_block_links(percent, floor_), "a long, b long")
     more = materialise(more, "mh-more")
     if more.limit(1).count():
-        component = connected_components(links.union(more))
+        component = connected_components(_ties(links.union(more), "a", "b"), "node", "low")
 
     reach = classes.join(component, "node", "left").select("h", "g", "n", F.coalesce("component", "node").alias("component"))
     out = feats.select("id", "n", "h", "g").join(reach, ["h", "g", "n"], "left")
