@@ -95,6 +95,8 @@ def _best(scores: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
 def _sample_truth(reps: DataFrame, sample: np.ndarray, k: int) -> list[np.ndarray]:
     """For each sample query, the vectors of its k nearest by brute force."""
 
+    own = np.einsum("ij,ij->i", sample, sample)[:, None] * (1 - 1e-12)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_q, kept_s, kept_v = np.zeros(0, int), np.zeros(0), None
         for batch in batches:
@@ -102,7 +104,9 @@ def _sample_truth(reps: DataFrame, sample: np.ndarray, k: int) -> list[np.ndarra
             if not len(x):
                 continue
             scores = sample @ x.T
-            scores[scores >= np.einsum("ij,ij->i", sample, sample)[:, None] * (1 - 1e-12)] = -np.inf  # itself
+            i, j = np.nonzero(scores >= own)
+            same = (x[j] == sample[i]).all(1)
+            scores[i[same], j[same]] = -np.inf  # the query itself and its copies
             rows = [(np.full(len(at), i), scores[i, at], x[at]) for i, at in _best(scores, k)]
             q = np.concatenate([kept_q, *(r[0] for r in rows)])
             s = np.concatenate([kept_s, *(r[1] for r in rows)])

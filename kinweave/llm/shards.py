@@ -12,6 +12,9 @@ executor's files are made again.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +56,18 @@ def sequence_count(tokens: Column, length: int) -> Column:
     return F.greatest(F.ceil(tokens / F.lit(length)), F.lit(1)).cast("int")
 
 
+@contextmanager
+def _shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of a query when it ends, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def write_shards(
     df: DataFrame,
     path: str,
@@ -60,6 +75,7 @@ def write_shards(
     length: int = 256,
     records_per_shard: int = 32_768,
     key: int = 20260831,
+    waves: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -67,6 +83,9 @@ def write_shards(
 
     A text is cut into sequences of ``length`` tokens, the last one padded with zeros.
     Records lie at ``{path}/shard=K/``, one file a shard, ``length + 1`` bytes a record.
+    The shards are written in ``waves``: each wave reads the input and shuffles its own
+    shards only, and its shuffle files are removed when it ends, so that the disk needed
+    beside the shards is one wave's share.
     Index rows: ``id_col, sequence, place, slot, shard, byte_offset, n_tokens``.
 
     Places follow the partitions of ``df`` and the rows in them, as Spark numbers them;
@@ -110,9 +129,13 @@ def write_shards(
     cut = rows.withColumn("sequences", sequence_count(F.octet_length("bytes"), length)).select(F.explode(pieces).alias("piece"))
     shards = -(-total // records_per_shard)
     shard = F.floor(F.col("slot") / records_per_shard).cast("int")  # worked out again after the shuffle, which carries the slot alone
-    dealt = placed(cut, "piece").select("slot", "piece").repartition(shards, shard).withColumn("shard", shard).sortWithinPartitions("shard", "slot")
-    record = F.rpad(F.col("piece"), F.lit(length), F.lit(b"\0"))
-    dealt.select("shard", record.cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(path)
+    numbered = placed(cut, "piece").select("slot", "piece").withColumn("shard", shard)
+    record = F.rpad(F.col("piece"), F.lit(length), F.lit(b"\0")).cast("string").alias("value")
+    with _shuffle_cleanup(spark):
+        for wave in range(waves):
+            own = numbered.where(F.col("shard").between(wave * shards // waves, (wave + 1) * shards // waves - 1)).select("slot", "piece")
+            dealt = own.repartition(max(1, -(-shards // waves)), shard).withColumn("shard", shard).sortWithinPartitions("shard", "slot")
+            dealt.select("shard", record).write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path)
     written = shard_files(spark, path).agg(F.sum("length")).first()[0]
     if written != total * (length + 1):
         raise ValueError(f"the input changed between two readings: {written} bytes for {total} sequences")
