@@ -45,7 +45,7 @@ def search_terms(query: str) -> list[list[str]]:
     words = [w for w in query.lower().split() if len(w) > 1]
     ways = [words] if words else []
     for i in range(len(words) - 1):
-        for glued in {words[i] + words[i + 1], words[i][:-1] + words[i + 1]} - {words[i], words[i + 1]}:
+        for glued in sorted({words[i] + words[i + 1], words[i][:-1] + words[i + 1]} - {words[i], words[i + 1]}):
             ways.append(words[:i] + [glued] + words[i + 2 :])
     return ways
 
