@@ -317,14 +317,29 @@ def name_part_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 NAME_PART_EXPLODE = "SELECT word, count(*) AS parts, count(DISTINCT p_brand) AS brands FROM (SELECT p_brand, unnest(string_split(lower(p_name), ' ')) AS word FROM part) GROUP BY word"
 
 
+PART_ROWS = 500
+
+
+def _meet(keyed: DataFrame) -> DataFrame:
+    """``a, b`` with ``a < b`` of all distinct pairs of ``c_custkey`` that share a ``key``, in blocks of any size.
+
+    A block is dealt to parts of about PART_ROWS members and every part meets every part
+    in a task of its own, so a crowded block is spread and no pair is left out.
+    """
+    parts = keyed.groupBy("key").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"), F.count("*").alias("size")).where("size > 1").drop("size")
+    placed = keyed.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("c_custkey"), "parts").cast("int"))
+    left = placed.select("key", F.col("c_custkey").alias("x"), F.col("part").alias("p"), F.explode(F.expr("sequence(part, parts - 1)")).alias("q"))
+    right = placed.select("key", F.col("c_custkey").alias("y"), F.col("part").alias("q"), F.explode(F.expr("sequence(0, part)")).alias("p"))
+    # Two different parts meet once, so either side may hold the smaller key.
+    met = left.join(right, ["key", "p", "q"]).where("x < y or (p < q and x <> y)")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate pairs of customers from two kinds of block, each block with at most 60 members."""
+    """Candidate pairs of customers from two kinds of block, whatever the size of a block."""
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.floor("c_acctbal").cast("long").alias("bal"))
     keys = F.explode(F.array(F.concat_ws("|", F.lit("n"), "c_nationkey", "c_mktsegment", F.floor(F.col("bal") / 500)), F.concat_ws("|", F.lit("b"), F.floor(F.col("bal") / 10))))
-    keyed = rows.select("c_custkey", keys.alias("key"))
-    sized = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size between 2 and 60").select("key")
-    inside = keyed.join(sized, "key")
-    return inside.alias("x").join(inside.alias("y"), "key").where("x.c_custkey < y.c_custkey").select(F.col("x.c_custkey").alias("a"), F.col("y.c_custkey").alias("b")).distinct()
+    return _meet(rows.select("c_custkey", keys.alias("key")))
 
 
 _BLOCKS = """
