@@ -66,22 +66,41 @@ def likeness(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both).cast("double")
 
 
+def _bucketed(df: DataFrame, id_col: str, text_col: str, rows_per_bucket: int, max_buckets: int) -> DataFrame:
+    """``id, text, k, bucket``: buckets ascend with the id, cut at its approximate quantiles."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), key.alias("k"))
+    buckets = max(1, min(max_buckets, df.count() // rows_per_bucket))
+    bounds = []
+    if buckets > 1:
+        shares = [i / buckets for i in range(1, buckets)]
+        bounds = sorted(set(rows.agg(F.percentile_approx("k", shares, max(10_000, 10 * buckets))).first()[0]))
+    if not bounds:
+        return rows.withColumn("bucket", F.lit(0))
+    # The number of bounds not above the key, by halving.
+    held = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        above = F.get(held, middle) <= F.col("k")
+        lo = F.when((s["lo"] < s["hi"]) & above, middle + 1).otherwise(s["lo"])
+        hi = F.when((s["lo"] < s["hi"]) & ~above, middle).otherwise(s["hi"])
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    return rows.withColumn("bucket", F.aggregate(steps, start, halve, lambda s: s["lo"]))
+
+
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_bucket: int = 2000, max_buckets: int = 100_000) -> DataFrame:
     """``id_col, text, spots`` of each row with ``next_text, next_spots`` of the next row by id.
 
     The order is ascending id, null first, ties by text; after the last comes the first.
-    Ids fall into buckets of equal width, and the first row of each bucket is also given
-    to the bucket before, so that one shuffle by bucket finds every next row.
+    Ids fall into buckets of about equally many rows, and the first row of each bucket is
+    also given to the bucket before, so that one shuffle by bucket finds every next row.
     """
     spark = df.sparkSession
-    low = -(2**63)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(low))
-    stat = df.agg(F.min(id_col).cast("long").alias("low"), F.max(id_col).cast("long").alias("high"), F.count("*").alias("n")).first()
-    first, last = stat.low or 0, stat.high or 0
-    buckets = max(1, min(max_buckets, stat.n // rows_per_bucket))
-    width = (last - first) // buckets + 1
-    bucket = F.when(F.col("k") < first, 0).otherwise(F.floor((F.col("k").cast("decimal(20,0)") - first) / width)).cast("int")
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), key.alias("k")).withColumn("bucket", bucket)
+    rows = _bucketed(df, id_col, text_col, rows_per_bucket, max_buckets)
     heads = sorted(map(tuple, rows.groupBy("bucket").agg(F.min("k").alias("k")).collect()))  # at most max_buckets rows
     before = [(heads[i][1], heads[i - 1][0]) for i in range(len(heads))]
     before = spark.createDataFrame(before, "k long, before int")
