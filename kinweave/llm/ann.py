@@ -3,9 +3,10 @@
 Vectors of norm at most M are lifted by one coordinate to a common norm, so that the
 largest inner product is the smallest distance. A table hashes a lifted vector by
 ``floor((a . x + b) / w)`` for a few Gaussian ``a``. A query visits the cells of a table
-in the order of estimated success: by the squared distances from its projections to the
-walls that a perturbed cell lies behind. How many cells it visits is set by the recall
-on a bounded sample of queries, measured against brute force over every vector.
+within a radius: the sum of squared distances from its projections to the walls that a
+cell lies behind, however many steps away. The radius is set by the recall on a bounded
+sample of queries, measured against brute force over every vector. A query with very
+many cells in the radius, or with too few vectors found, scans every vector in blocks.
 
 Cells are dealt to shards. A task holds one block of one shard's vectors and one block
 of the queries that visit it, scores them by matrix product and keeps each query's best;
@@ -14,7 +15,6 @@ so a crowded cell or shard is split on both sides and nothing is collected whole
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 SAMPLE_QUERIES = 64
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 1024
+#: A query with more cells than this within the radius scans every vector instead.
+MOST_CELLS = 3**7
 
 
 class Hashing:
@@ -35,7 +37,6 @@ class Hashing:
         self.norm, self.tables, self.width = norm, tables, width
         self.a = rng.standard_normal((tables, projections, dim + 1))
         self.b = rng.uniform(0, width, (tables, projections))
-        self.steps = np.array(list(itertools.product((0, -1, 1), repeat=projections)), dtype=np.int64)
         self.mix = (rng.integers(1, 2**62, projections) * 2 + 1).astype(np.int64)
 
     def lift(self, x: np.ndarray, query: bool) -> np.ndarray:
@@ -56,19 +57,31 @@ class Hashing:
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
         return self.key(np.floor(self.project(x, False, table)).astype(np.int64), table)
 
-    def probes(self, q: np.ndarray, table: int, visits: int) -> np.ndarray:
-        """The first ``visits`` cells of each query, likeliest first."""
-        p = self.project(q, True, table)
-        home = np.floor(p).astype(np.int64)
-        inside = p - home
-        cost = np.stack([np.zeros_like(inside), inside**2, (1 - inside) ** 2], axis=-1)
-        total = np.zeros((len(q), len(self.steps)))
-        choice = np.where(self.steps < 0, 1, np.where(self.steps > 0, 2, 0))
-        for j in range(self.steps.shape[1]):
-            total += cost[:, j, :][:, choice[:, j]]
-        visits = min(visits, total.shape[1])
-        best = np.argsort(total, axis=1, kind="stable")[:, :visits]
-        return self.key(home[:, None, :] + self.steps[best], table)
+    def probes(self, q: np.ndarray, table: int, radius: float) -> list[np.ndarray | None]:
+        """For each query the cells at most ``radius`` away (squared), or None where they pass MOST_CELLS."""
+        return [None if c is None else self.key(c, table) for c in (_within(p, radius) for p in self.project(q, True, table))]
+
+
+def _apart(p: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """The squared distance from a projection to each cell's nearest wall, zero inside; by coordinate."""
+    return np.maximum(0, np.maximum(cell - p, p - cell - 1)) ** 2
+
+
+def _within(p: np.ndarray, radius: float) -> np.ndarray | None:
+    """The cells, however far from home, whose distances to ``p`` sum to at most ``radius``."""
+    reach = int(np.ceil(np.sqrt(radius))) + 1
+    if 2 * reach + 1 > MOST_CELLS:
+        return None
+    cells, total = np.zeros((1, 0), dtype=np.int64), np.zeros(1)
+    for x in p:
+        options = np.arange(-reach, reach + 1) + int(np.floor(x))
+        sums = total[:, None] + _apart(x, options)
+        i, j = np.nonzero(sums <= radius)
+        # Home adds nothing, so each of these leads to a cell within the radius.
+        if len(i) > MOST_CELLS:
+            return None
+        cells, total = np.hstack([cells[i], options[j][:, None]]), sums[i, j]
+    return cells
 
 
 def usable(vector: Column) -> Column:
@@ -127,19 +140,163 @@ def _sample_truth(reps: DataFrame, sample: np.ndarray, k: int) -> list[np.ndarra
     return [np.array(v, dtype=np.float64) for v in truth]
 
 
-def _visits(hashing: Hashing, sample: np.ndarray, truth: list[np.ndarray], recall: float) -> int:
-    """The fewest visits a table that find the share ``recall`` of the sample's true neighbours."""
+def _radius(hashing: Hashing, sample: np.ndarray, truth: list[np.ndarray], recall: float) -> float:
+    """The least radius that finds the share ``recall`` of the sample's true neighbours."""
+    need = []
+    for q, near in zip(sample, truth):
+        if len(near):
+            apart = lambda t: _apart(hashing.project(q[None], True, t), np.floor(hashing.project(near, False, t))).sum(1)
+            need += np.min([apart(t) for t in range(hashing.tables)], axis=0).tolist()
+    if not need:
+        return 0.0
+    return float(np.sort(need)[min(len(need) - 1, int(np.ceil(recall * len(need))) - 1)]) * (1 + 1e-9) + 1e-9
+
+
+def nearest(
+    df: DataFrame,
+    queries: Column,
+    *,
+    k: int = 20,
+    tables: int = 2,
+    projections: int = 7,
+    width: float = 1.6,
+    recall: float = 0.96,
+    seed: int = 7,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the k nearest found of each row where ``queries`` holds.
+
+    Every row but the query's own is a candidate. ``recall`` is aimed at on a sample of
+    SAMPLE_QUERIES queries (the bound of the fitted part); every row is indexed.
+
+    Defined cases: vectors that are null, zero, or hold a null or non-finite component
+    take no part, nor rows with a null id, nor vectors of another length than most;
+    equal vectors are searched once and all their rows returned, ties to the smaller
+    id; a repeated id counts once for each distinct vector it has; an empty table, or
+    one without queries, gives an empty table; other columns are not read.
+    """
+    from kinweave.session import materialise
+
+    spark = df.sparkSession
+    result = "query_id long, rank int, vec_id long, score double"
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vec"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    rows = rows.where(F.col("id").isNotNull() & usable(F.col("vec")))
+    lengths = rows.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
+    if not lengths:
+        return spark.createDataFrame([], result)
+    dim = lengths[0].dim
+    rows = rows.where(F.size("vec") == dim)
+    # Equal vectors are one class; its k + 1 smallest ids are all that any query can need.
+    same = Window.partitionBy("h", "g").orderBy("id")
+    keyed = rows.select("id", "vec", "asks", F.xxhash64("vec").alias("h"), F.xxhash64(F.lit(1), "vec").alias("g"))
+    members = materialise(keyed.dropDuplicates(["h", "g", "id"]).withColumn("place", F.row_number().over(same)).where(F.col("place") <= k + 1).drop("asks"), "ann-classes")
+    reps = members.where("place = 1").select(F.col("id").alias("rep"), "vec", "h", "g")
+    asking = materialise(keyed.where("asks").select("id", "h", "g").distinct(), "ann-asking")
+    askers = reps.join(asking.select("h", "g").distinct(), ["h", "g"]).select("rep", "vec")
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
+    stat = reps.agg(F.max(norm).alias("norm"), F.count("*").alias("n")).first()
+    hashing = Hashing(dim, float(stat.norm), tables, projections, width, seed)
+    sample = askers.orderBy(F.xxhash64(F.lit(seed), "rep"), "rep").limit(SAMPLE_QUERIES).collect()
+    if not sample:
+        return spark.createDataFrame([], result)
+    sample = np.array([r.vec for r in sample], dtype=np.float64)
+    radius = _radius(hashing, sample, _sample_truth(reps, sample, k), recall)
+    shards = max(1, -(-stat.n // BLOCK_ROWS))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(1))
+            for t in range(tables):
+                cells = hashing.cells(x, t) if len(x) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), t), pa.int32()), pa.array(cells % shards, pa.int32()), batch.column(0), batch.column(1), pa.array(cells[:, None].tolist(), pa.list_(pa.int64()))],
+                    names=["t", "shard", "rep", "vec", "cells"],
+                )
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                q = _matrix(part.column(1))
+                found = [hashing.probes(q, t, radius) for t in range(tables)]
+                scans = [any(cells[i] is None for cells in found) for i in range(len(q))]
+                for t in range(tables):
+                    # Without cells a query scans all of its shard; one table holds every vector.
+                    out = [(s, i, []) for i, all_ in enumerate(scans) if all_ and t == 0 for s in range(shards)]
+                    for i, row in enumerate(found[t]):
+                        if not scans[i]:
+                            at = row % shards
+                            out += [(int(s), i, row[at == s].tolist()) for s in np.unique(at)]
+                    which = pa.array([o[1] for o in out], pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([t] * len(out), pa.int32()), pa.array([o[0] for o in out], pa.int32()), part.column(0).take(which), part.column(1).take(which), pa.array([o[2] for o in out], pa.list_(pa.int64()))],
+                        names=["t", "shard", "rep", "vec", "cells"],
+                    )
+
+    shape = "t int, shard int, rep long, vec array<float>, cells array<long>"
+    data = reps.select("rep", "vec").mapInArrow(place, shape)
+    asks = materialise(askers.mapInArrow(visit, shape), "ann-visits")
+    def score(block: pa.Table) -> pa.Table:
+        asks_ = block.column("asks").to_numpy()
+        base, want = block.filter(pa.array(asks_ == 0)), block.filter(pa.array(asks_ == 1))
+        out_q, out_r, out_s = [], [], []
+        if base.num_rows and want.num_rows:
+            x, q = _matrix(base.column("vec")), _matrix(want.column("vec"))
+            ids, q_ids = base.column("rep").to_numpy(), want.column("rep").to_numpy()
+            known, cell = np.unique(base.column("cells").combine_chunks().flatten().to_numpy(), return_inverse=True)
+            lists = want.column("cells").to_pylist()
+            for begin in range(0, len(q), 128):
+                part = slice(begin, begin + 128)
+                visited = np.stack([np.isin(known, c) if len(c) else np.ones(len(known), bool) for c in lists[part]])
+                scores = np.where(visited[:, cell], q[part] @ x.T, -np.inf)
+                for i, at in _best(scores, k + 1):
+                    exact = np.einsum("j,ij->i", q[begin + i], x[at])
+                    order = np.lexsort((ids[at], -exact))[: k + 1]
+                    out_q.append(np.full(len(order), q_ids[begin + i]))
+                    out_r.append(ids[at][order])
+                    out_s.append(exact[order])
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+        return pa.table({"q": pa.array(join(out_q, np.int64), pa.int64()), "rep": pa.array(join(out_r, np.int64), pa.int64()), "score": pa.array(join(out_s, np.float64), pa.float64())})
+
+    def search(asks: DataFrame) -> DataFrame:
+        # How often each shard must be split: two counts a shard, a bounded table.
+        n_data = data.groupBy("t", "shard").agg(F.count("*").alias("nd"))
+        n_asks = asks.groupBy("t", "shard").agg(F.count("*").alias("nq"))
+        split = n_data.join(n_asks, ["t", "shard"]).select(
+            "t", "shard", F.ceil(F.col("nd") / BLOCK_ROWS).cast("int").alias("bd"), F.ceil(F.col("nq") / BLOCK_QUERIES).cast("int").alias("bq")
+        )
+        split = F.broadcast(materialise(split, "ann-split"))
+        own = F.xxhash64("rep")
+        left = data.join(split, ["t", "shard"]).select("t", "shard", "rep", "vec", "cells", F.lit(0).alias("asks"), F.pmod(own, "bd").cast("int").alias("d"), F.explode(F.expr("sequence(0, bq - 1)")).alias("q"))
+        right = asks.join(split, ["t", "shard"]).select("t", "shard", "rep", "vec", "cells", F.lit(1).alias("asks"), F.explode(F.expr("sequence(0, bd - 1)")).alias("d"), F.pmod(own, "bq").cast("int").alias("q"))
+        scored = left.unionByName(right).groupBy("t", "shard", "d", "q").applyInArrow(score, "q long, rep long, score double")
+        return scored.groupBy("q", "rep").agg(F.max("score").alias("score"))
+
+    found = materialise(search(asks), "ann-found")
+    # Queries whose cells held too few vectors scan every shard of one table.
+    counts = found.groupBy(F.col("q").alias("rep")).agg(F.count("*").alias("held"))
+    short = askers.join(counts, "rep", "left").where(F.coalesce("held", F.lit(0)) < min(k + 1, stat.n))
+    short = materialise(short.select(F.lit(0).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "rep", "vec", F.array().cast("array<long>").alias("cells")), "ann-short")
+    if not short.isEmpty():
+        found = found.unionByName(search(short)).groupBy("q", "rep").agg(F.max("score").alias("score"))
+    top = found.withColumn("place", place).where(F.col("place") <= k).select("q", "v").collect()  # k rows a sample query
+    truth = [[] for _ in sample]
+    for r in top:
+        truth[r.q].append(r.v)
+    return [np.array(v, dtype=np.float64) for v in truth]
+
+
+def _radius(hashing: Hashing, sample: np.ndarray, truth: list[np.ndarray], recall: float) -> float:
+    """The least radius that finds the share ``recall`` of the sample's true neighbours."""
     need = []
     for q, near in zip(sample, truth):
         if len(near):
-            places = []
-            for t in range(hashing.tables):
-                order = {c: i for i, c in enumerate(hashing.probes(q[None], t, len(hashing.steps))[0].tolist())}
-                places.append([order.get(c, len(hashing.steps)) for c in hashing.cells(near, t).tolist()])
-            need += np.min(places, axis=0).tolist()
+            apart = lambda t: _apart(hashing.project(q[None], True, t), np.floor(hashing.project(near, False, t))).sum(1)
+            need += np.min([apart(t) for t in range(hashing.tables)], axis=0).tolist()
     if not need:
-        return 1
-    return min(len(hashing.steps), int(np.sort(need)[min(len(need) - 1, int(np.ceil(recall * len(need))) - 1)]) + 1)
+        return 0.0
+    return float(np.sort(need)[min(len(need) - 1, int(np.ceil(recall * len(need))) - 1)]) * (1 + 1e-9) + 1e-9
 
 
 def nearest(
@@ -191,7 +348,7 @@ def nearest(
     if not sample:
         return spark.createDataFrame([], result)
     sample = np.array([r.vec for r in sample], dtype=np.float64)
-    visits = _visits(hashing, sample, _sample_truth(reps, sample, k), recall)
+    radius = _radius(hashing, sample, _sample_truth(reps, sample, k), recall)
     shards = max(1, -(-stat.n // BLOCK_ROWS))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +366,15 @@ def nearest(
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
                 q = _matrix(part.column(1))
+                found = [hashing.probes(q, t, radius) for t in range(tables)]
+                scans = [any(cells[i] is None for cells in found) for i in range(len(q))]
                 for t in range(tables):
-                    cells = hashing.probes(q, t, visits)
-                    of = cells % shards
-                    out = [(int(s), i, row[at == s].tolist()) for i, (row, at) in enumerate(zip(cells, of)) for s in np.unique(at)]
+                    # Without cells a query scans all of its shard; one table holds every vector.
+                    out = [(s, i, []) for i, all_ in enumerate(scans) if all_ and t == 0 for s in range(shards)]
+                    for i, row in enumerate(found[t]):
+                        if not scans[i]:
+                            at = row % shards
+                            out += [(int(s), i, row[at == s].tolist()) for s in np.unique(at)]
                     which = pa.array([o[1] for o in out], pa.int32())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([t] * len(out), pa.int32()), pa.array([o[0] for o in out], pa.int32()), part.column(0).take(which), part.column(1).take(which), pa.array([o[2] for o in out], pa.list_(pa.int64()))],
@@ -222,7 +384,6 @@ def nearest(
     shape = "t int, shard int, rep long, vec array<float>, cells array<long>"
     data = reps.select("rep", "vec").mapInArrow(place, shape)
     asks = materialise(askers.mapInArrow(visit, shape), "ann-visits")
-    # How often each shard must be split: two counts a shard, a bounded table.
     n_data = data.groupBy("t", "shard").agg(F.count("*").alias("nd"))
     n_asks = asks.groupBy("t", "shard").agg(F.count("*").alias("nq"))
     split = n_data.join(n_asks, ["t", "shard"]).select(
@@ -244,7 +405,7 @@ def nearest(
             lists = want.column("cells").to_pylist()
             for begin in range(0, len(q), 128):
                 part = slice(begin, begin + 128)
-                visited = np.stack([np.isin(known, c) for c in lists[part]])
+                visited = np.stack([np.isin(known, c) if len(c) else np.ones(len(known), bool) for c in lists[part]])
                 scores = np.where(visited[:, cell], q[part] @ x.T, -np.inf)
                 for i, at in _best(scores, k + 1):
                     exact = np.einsum("j,ij->i", q[begin + i], x[at])
