@@ -162,8 +162,8 @@ def resolved_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     def score(entities: DataFrame) -> DataFrame:
-        # Neighbouring balance bands of one nation and segment meet; a band holds 50 units.
-        band = F.floor(F.col("low") / 50)
+        # Neighbouring balance bands of one nation and segment meet; a band is as wide as the widest gap.
+        band = F.floor(F.col("low") / 60)
         one = entities.where("nation = nation2 and segment = segment2").withColumn("band", band)
         left = one.select(F.col("entity").alias("a"), "nation", "segment", F.col("low").alias("la"), F.col("high").alias("ha"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
         right = one.select(F.col("entity").alias("b"), "nation", "segment", "band", F.col("low").alias("lb"), F.col("high").alias("hb"))

@@ -26,3 +26,10 @@ def test_a_block_of_several_parts(spark):
     n = 2 * PART_ROWS + 50
     keyed = spark.range(n).selectExpr("id AS c_custkey", "'k' AS key").union(spark.range(3).selectExpr("id AS c_custkey", "'again' AS key"))
     assert _meet(keyed).count() == n * (n - 1) // 2
+
+
+def test_every_gap_up_to_sixty_is_resolved(spark, tmp_path):
+    pairs = [(base, gap) for base in (-75, 0, 30, 49, 59) for gap in range(0, 71, 4)]
+    rows = [(2 * i + side, i, "BUILDING", float(base + side * gap)) for i, (base, gap) in enumerate(pairs) for side in (0, 1)]
+    entities = {r.mention: r.entity for r in Q["resolved_customers"](spark, write_customers(spark, tmp_path, rows)).collect()}
+    assert entities == {2 * i + side: 2 * i + (side if gap > 60 else 0) for i, (_, gap) in enumerate(pairs) for side in (0, 1)}
