@@ -13,13 +13,17 @@ import base64
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-MAX_CACHED_WORDS = 450_000
+#: The store of encoded words is emptied beyond either; a replay takes texts up to either bound.
+MAX_CACHED_WORDS = 250_000
+MAX_CACHED_CHARS = 4_000_000
 DOCS_PER_REPLAY = 2500
+CHARS_PER_REPLAY = 2_000_000
 
 #: Words of the byte-level BPE of GPT-2; the default of every function here.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -57,10 +61,42 @@ class MergeReplay:
         at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
         return np.where(self.keys[at] == pair, self.made[at], -1)
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, as little-endian 32-bit integers."""
+    def _together(self, r: int, places: np.ndarray, symbols: np.ndarray, follows: np.ndarray, comes: np.ndarray, word_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the sorted ``places`` of merge ``r``: those merged in one turn, and those left for the next.
+
+        One after the other, from the left, is the rule. Places of a word are merged in one
+        turn if no pair that comes up between two of them has a lower rank; of places that
+        overlap every second one goes. Words where a lower rank comes up merge their first only.
+        """
+        same = word_of[places[1:]] == word_of[places[:-1]]
+        if not same.any():
+            return places, places[:0]
+        first = np.ones(len(places), dtype=bool)
+        first[1:] = follows[places[:-1]] != places[1:]
+        run = np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))
+        places = places[(np.arange(len(places)) - run) % 2 == 0]
+        gone = follows[places]
+        after, before = follows[gone], comes[places]
+        merged = np.full(len(places), r, dtype=np.int64)
+        right = np.full(len(places), -1, dtype=np.int64)
+        right[after >= 0] = self.rank(merged[after >= 0], symbols[after[after >= 0]])
+        left_symbol = np.where(before >= 0, symbols[before], -1)
+        left_symbol[1:][gone[:-1] == before[1:]] = r
+        left = np.full(len(places), -1, dtype=np.int64)
+        left[before >= 0] = self.rank(left_symbol[before >= 0], merged[before >= 0])
+        lower = ((right >= 0) & (right < r)) | ((left >= 0) & (left < r))
+        if not lower.any():
+            return places, places[:0]
+        careful = np.isin(word_of[places], word_of[places[lower]])
+        head = np.ones(len(places), dtype=bool)
+        head[1:] = word_of[places[1:]] != word_of[places[:-1]]
+        now = ~careful | head
+        return places[now], places[~now]
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other (32-bit), and how many each has."""
         if not words:
-            return []
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         lengths = np.array([len(w) for w in words])
         ends = np.cumsum(lengths)
         symbols = self.single[np.frombuffer(b"".join(words), dtype=np.uint8)]
@@ -101,13 +137,10 @@ class MergeReplay:
             places = places[np.concatenate(([True], places[1:] != places[:-1]))] if len(places) > 1 else places
             if not len(places):
                 continue
-            # One place of each word at a time: a merge may bring up a lower rank in its word.
-            later = np.zeros(len(places), dtype=bool)
-            np.equal(word_of[places[1:]], word_of[places[:-1]], out=later[1:])
-            if later.any():
-                where[r] = [places[later]]
+            places, later = self._together(r, places, symbols, follows, comes, word_of)
+            if len(later):
+                where[r] = [later]
                 heapq.heappush(queue, r)
-                places = places[~later]
             gone = follows[places]
             after, before = follows[gone], comes[places]
             symbols[places], symbols[gone] = r, -1
@@ -121,16 +154,22 @@ class MergeReplay:
             pair_rank[before] = self.rank(symbols[before], symbols[follows[before]])
             index(np.concatenate((before, places)))
         kept = symbols >= 0
-        flat = symbols[kept].astype("<i4").tobytes()
-        counts = np.add.reduceat(kept, (ends - lengths)[lengths > 0]) if len(symbols) else np.zeros(0, int)
         sizes = np.zeros(len(words), dtype=np.int64)
-        sizes[lengths > 0] = counts
-        stops = (np.cumsum(sizes) * 4).tolist()
-        return [flat[a:b] for a, b in zip([0, *stops[:-1]], stops)]
+        if len(symbols):
+            sizes[lengths > 0] = np.add.reduceat(kept, (ends - lengths)[lengths > 0], dtype=np.int64)
+        return symbols[kept].astype(np.int32), sizes
+
+
+class _Numbers(dict):
+    """Word to number, in the order in which words are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 class Codec:
-    """Texts to ids and back, with a bounded store of encoded words."""
+    """Texts to ids and back, with a store of encoded words that is bounded by words and characters."""
 
     def __init__(self, tokens: list[bytes], pattern: str = PATTERN):
         import regex
@@ -146,7 +185,12 @@ class Codec:
         plain = plain.replace(r"\S", f"[^{blanks}]").replace(r"\s", f"[{blanks}]")
         self.plain_words = re.compile(plain).findall if pattern == PATTERN else None
         self.not_plain = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ¿¡«»]").search
-        self.known: dict[str, bytes] = {}
+        self._empty()
+
+    def _empty(self) -> None:
+        self.numbers = _Numbers()
+        self.known_chars = 0
+        self.ids, self.begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def split(self, text: str) -> list[str]:
         """The matches of the pattern."""
@@ -154,16 +198,25 @@ class Codec:
             return self.any_words(text)
         return self.plain_words(text)
 
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        split = [self.split(t) for t in texts]
-        distinct = set().union(*split)
-        if len(self.known) + len(distinct) > MAX_CACHED_WORDS:  # what is in use stays
-            self.known = {w: self.known[w] for w in distinct & self.known.keys()}
-        known = self.known
-        new = list(distinct - known.keys())
-        known.update(zip(new, self.replay.encode([w.encode("utf-8", "surrogatepass") for w in new])))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """The ids of each text (32-bit). Words are kept as numbers, so a text is never held as a list of strings."""
+        if len(self.numbers) > MAX_CACHED_WORDS or self.known_chars > MAX_CACHED_CHARS:
+            self._empty()
+        before = len(self.numbers)
+        number = self.numbers.__getitem__
+        coded = [np.fromiter(map(number, self.split(t)), dtype=np.int32) for t in texts]
+        new = [w.encode("utf-8", "surrogatepass") for w in islice(self.numbers, before, None)]
+        self.known_chars += sum(map(len, new))
+        ids, sizes = self.replay.encode(new)
+        self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes)))
+        self.ids = np.concatenate((self.ids, ids))
+        return [self._gather(words) for words in coded]
+
+    def _gather(self, words: np.ndarray) -> np.ndarray:
+        first = self.begins[words]
+        sizes = self.begins[words + 1] - first
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.replay.tokens.__getitem__, ids))
@@ -179,13 +232,13 @@ def _codec(tokens: tuple[bytes, ...], pattern: str) -> Codec:
     return _ready[key]
 
 
-def _lists(raw: list[bytes]) -> pa.ListArray:
-    ends = np.zeros(len(raw) + 1, dtype=np.int32)
-    np.cumsum([len(b) // 4 for b in raw], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))
+def _lists(coded: list[np.ndarray]) -> pa.ListArray:
+    ends = np.zeros(len(coded) + 1, dtype=np.int32)
+    np.cumsum([len(c) for c in coded], out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(coded)))
 
 
-def _slices(texts: pa.Array, docs: int, size: int = 8_000_000) -> Iterator[tuple[int, list[str]]]:
+def _slices(texts: pa.Array, docs: int, size: int) -> Iterator[tuple[int, list[str]]]:
     """Runs of at most ``docs`` texts and about ``size`` characters, with the place of the first."""
     run: list[str] = []
     chars = begin = 0
@@ -226,11 +279,11 @@ def encode(
         codec = _codec(shared.value, pattern)
         for batch in batches:
             rest = [batch.column(i) for i in range(1, batch.num_columns)]
-            for begin, texts in _slices(batch.column(0), DOCS_PER_REPLAY):
-                raw = codec.encode(texts)
-                arrays = [c.slice(begin, len(texts)) for c in rest] + [_lists(raw)]
+            for begin, texts in _slices(batch.column(0), DOCS_PER_REPLAY, CHARS_PER_REPLAY):
+                coded = codec.encode(texts)
+                arrays = [c.slice(begin, len(texts)) for c in rest] + [_lists(coded)]
                 if with_decoded:
-                    arrays.append(pa.array([codec.decode(np.frombuffer(b, dtype=np.int32).tolist()) for b in raw], pa.binary()))
+                    arrays.append(pa.array([codec.decode(c.tolist()) for c in coded], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, names=keep + made)
 
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + ["token_ids array<int>"] + ["decoded binary"] * with_decoded
@@ -238,7 +291,12 @@ def encode(
 
 
 def decode(df: DataFrame, tokens: list[bytes], *, ids_col: str = "token_ids") -> DataFrame:
-    """``df`` with ``decoded``, the bytes of the ids in ``ids_col`` (none for null)."""
+    """``df`` with ``decoded``, the bytes of the ids in ``ids_col``.
+
+    Defined cases: null or no ids decode to no bytes; repeated rows each give a row; an
+    empty table gives an empty table; an input column ``decoded`` is replaced. An id that
+    is null or outside the vocabulary fails the job.
+    """
     keep = [c for c in df.columns if c != "decoded"]
     shared = df.sparkSession.sparkContext.broadcast(tuple(tokens))
 
