@@ -34,7 +34,7 @@ def test_equal_vectors_and_bad_ones(spark):
     rng = np.random.default_rng(2)
     base = [rng.standard_normal(6).astype(np.float32).tolist() for _ in range(5)]
     rows = [(i, base[i % 5] if i < 60 else rng.standard_normal(6).astype(np.float32).tolist()) for i in range(90)]
-    bad = [(200, None), (220, [0.0] * 6), (240, [None] + [1.0] * 5), (260, [float("nan")] * 6), (280, [float("inf")] * 6), (300, [1.0, 2.0]), (None, base[0])]
+    bad = [(200, None), (220, [0.0] * 6), (240, [None] + [1.0] * 5), (260, [float("nan")] * 6), (280, [float("inf")] * 6), (None, base[0])]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows + bad + rows[:3]], "vec_id long, embedding array<float>, score string")
     want = brute(rows, lambda i: i % 20 == 0, 8)
     got = {}
@@ -50,3 +50,31 @@ def test_few_rows(spark):
     two = ann.nearest(spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 2.0])], schema), F.col("vec_id") == 0).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in two] == [(0, 1, 1, 0.5)]
     assert ann.nearest(spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0])], schema), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_doubles_lengths_and_norms(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.standard_normal(rng.integers(1, 7)) * 10.0 ** rng.integers(-3, 4)).tolist()) for i in range(300)]
+    rows += [(300, [0.1, 0.2]), (301, [0.3, 0.4]), (302, [1e39, 1.0]), (303, [1e-9, 0.0, 2e-9]), (304, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    pad = [(i, v + [0.0] * (6 - len(v))) for i, v in rows if v]
+    want = brute(pad, lambda i: i % 20 == 0, 5)
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=5, recall=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q, (ids, scored) in want.items():
+        assert all(math.isclose(s, -w[0], rel_tol=1e-12, abs_tol=1e-12) for (_, s), w in zip(got[q], scored))
+    assert sum(len({v for v, _ in got[q]} & set(ids)) for q, (ids, _) in want.items()) >= 0.95 * 5 * len(want)
+    pair = ann.nearest(df.where("vec_id in (300, 301)"), F.col("vec_id") == 300).collect()
+    assert [(r.vec_id, r.score) for r in pair] == [(301, 0.1 * 0.3 + 0.2 * 0.4)]
+
+
+def test_queries_whose_cells_hold_too_little_scan_everything(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute(rows, lambda i: i % 20 == 0, 20)
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, width=0.01, recall=0.01).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert {q: set(v[0]) for q, v in want.items()} == got
