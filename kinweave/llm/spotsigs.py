@@ -1,9 +1,11 @@
 """Document fingerprints by spot signatures, in DataFrame functions only.
 
 A spot is a common word (an anchor); its signature is the anchor with the next two
-content words, common words between them skipped. The start of a text is an anchor
-too. The sorted set of hashed signatures is the fingerprint, and the likeness of two
-texts is the Jaccard share of their sets.
+content words, common words between them skipped. The start of a text is an anchor too,
+and so is every content word whose checksum leaves 0 by OWN_ANCHORS: a text in a language
+without listed words, or a list of names, is covered throughout as well. The sorted set
+of hashed signatures is the fingerprint, and the likeness of two texts is the Jaccard
+share of their sets.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.llm.quantiles import bounds, bucket
+
 #: Common words of English, French, German and Spanish that serve as anchors.
 ANCHORS = (
     "the of and to a in is that it was for on are as with be at this have from or by not but "
@@ -19,6 +23,9 @@ ANCHORS = (
     "el los las del y en se no lo con para su al como más"
 ).split()
 
+#: One content word in so many, by its checksum, is an anchor as well.
+OWN_ANCHORS = 4
+
 
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once."""
@@ -28,13 +35,16 @@ def _let(value: Column, body) -> Column:
 def _signatures(runs: Column) -> Column:
     """The hashes of every anchor with the two content words after it, from ``runs``.
 
-    A run is a content word and the anchors (marked with #) that follow it.
+    A run is a content word and the anchors (marked with #) that follow it; the word
+    itself (marked with ~) may be an anchor.
     """
     three = F.arrays_zip(runs.alias("a"), F.slice(runs, F.lit(2), F.size(runs)).alias("b"), F.slice(runs, F.lit(3), F.size(runs)).alias("c"))
     whole = F.slice(three, F.lit(1), F.greatest(F.size(three) - 2, F.lit(0)))
     anchors = lambda run: F.array_distinct(F.filter(F.split(run, " "), lambda w: w.startswith("#")))
     word = lambda run: F.substring_index(run, " ", 1)
-    each = F.transform(F.filter(whole, lambda x: x["a"].contains("#")), lambda x: F.transform(anchors(x["a"]), lambda w: F.hash(w, word(x["b"]), word(x["c"]))))
+    own = lambda run: ~run.startswith("#") & (F.crc32(word(run).cast("binary")) % OWN_ANCHORS == 0)
+    starts = lambda run: F.when(own(run), F.concat(anchors(run), F.array(F.concat(F.lit("~"), word(run))))).otherwise(anchors(run))
+    each = F.transform(F.filter(whole, lambda x: x["a"].contains("#") | own(x["a"])), lambda x: F.transform(starts(x["a"]), lambda w: F.hash(w, word(x["b"]), word(x["c"]))))
     return F.array_sort(F.array_distinct(F.flatten(each)))
 
 
@@ -42,7 +52,9 @@ def spot_set(text: Column) -> Column:
     """The sorted distinct signature hashes of a text (array<int>), never empty.
 
     A null text counts as empty. A text with fewer than two content words has one
-    signature, its whole word sequence; one without words, its characters.
+    signature, its whole word sequence; one without words, its characters. A text with
+    only one signature besides has its whole word sequence as a second, so that a common
+    beginning alone does not make two texts alike.
     """
     text = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -52,7 +64,7 @@ def spot_set(text: Column) -> Column:
         line = F.array_join(runs, " ")
         return F.array(F.hash(F.lit("whole"), F.when(line == "#^ ", text).otherwise(line)))
 
-    return _let(F.split(marked, " (?=[^#])"), lambda runs: _let(_signatures(runs), lambda s: F.when(F.size(s) > 0, s).otherwise(whole(runs))))
+    return _let(F.split(marked, " (?=[^#])"), lambda runs: _let(_signatures(runs), lambda s: F.when(F.size(s) > 1, s).otherwise(F.array_sort(F.array_union(s, whole(runs))))))
 
 
 def as_text(spots: Column) -> Column:
@@ -71,25 +83,7 @@ def _bucketed(df: DataFrame, id_col: str, text_col: str, rows_per_bucket: int, m
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), key.alias("k"))
     buckets = max(1, min(max_buckets, df.count() // rows_per_bucket))
-    bounds = []
-    if buckets > 1:
-        shares = [i / buckets for i in range(1, buckets)]
-        bounds = sorted(set(rows.agg(F.percentile_approx("k", shares, max(10_000, 10 * buckets))).first()[0]))
-    if not bounds:
-        return rows.withColumn("bucket", F.lit(0))
-    # The number of bounds not above the key, by halving.
-    held = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        above = F.get(held, middle) <= F.col("k")
-        lo = F.when((s["lo"] < s["hi"]) & above, middle + 1).otherwise(s["lo"])
-        hi = F.when((s["lo"] < s["hi"]) & ~above, middle).otherwise(s["hi"])
-        return F.struct(lo.alias("lo"), hi.alias("hi"))
-
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-    return rows.withColumn("bucket", F.aggregate(steps, start, halve, lambda s: s["lo"]))
+    return rows.withColumn("bucket", bucket(F.col("k"), bounds(rows, "k", buckets)))
 
 
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_bucket: int = 2000, max_buckets: int = 100_000) -> DataFrame:
@@ -98,6 +92,10 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     The order is ascending id, null first, ties by text; after the last comes the first.
     Ids fall into buckets of about equally many rows, and the first row of each bucket is
     also given to the bucket before, so that one shuffle by bucket finds every next row.
+
+    Defined cases: null texts count as empty; rows with a null id, or with one id, follow
+    each other by text; repeated rows each give a row; a single row is followed by itself;
+    an empty table gives an empty table; other columns are not read.
     """
     spark = df.sparkSession
     rows = _bucketed(df, id_col, text_col, rows_per_bucket, max_buckets)
@@ -115,7 +113,7 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
 
 
 def edited(text: Column, following: Column) -> Column:
-    """The last half of the code points replaced by as many of the following text's first."""
+    """The last half of the code points replaced by as many (or all) of the following text's first; null if either is null."""
     half = F.floor(F.char_length(text) / 2).cast("int")
     return F.concat(F.substring(text, F.lit(1), F.char_length(text) - half), F.substring(following, F.lit(1), half))
 
@@ -138,7 +136,11 @@ def near_pairs(prints: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     ``threshold`` differ in length by at most that factor, so a set meets only its own
     length band and the next. Within a band, sets are joined on their rarest signatures
     only (of n, the first ``n - ceil(threshold * n) + 1``: a similar pair shares one), and
-    likeness is then counted on whole sets.
+    likeness is then counted on whole sets. The pairs of a family of m different but
+    similar sets are m * (m - 1) / 2 rows; where only groups are asked for, use ``op9``.
+
+    Defined cases: repeated rows are members once each; an empty table gives two empty
+    tables; columns other than the id and ``spots`` are not read.
     """
     rows = prints.where(F.col(id_col).isNotNull()).select(id_col, "spots", F.xxhash64("spots").alias("h"), F.hash("spots").alias("g"), F.size("spots").alias("n"))
     heads = rows.groupBy("h", "g", "n").agg(F.min(id_col).alias("class_id"))

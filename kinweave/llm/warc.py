@@ -1,9 +1,9 @@
 """Not-modified revisit records resolved against the latest earlier full response.
 
 The join is as-of: same canonical URL, latest response before the revisit. A URL may
-hold a large share of all captures, so each URL's captures are cut into spans of time:
-a window works inside a span, and the last response of the earlier spans (one row per
-URL and span) is carried in.
+hold a large share of all captures, so each URL's captures are cut into spans of time,
+at approximate quantiles of all times: a window works inside a span, and the last
+response of the earlier spans (one row per URL and span) is carried in.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.llm.quantiles import bounds, bucket
+
 #: Header fields that a 304 response may update (RFC 9110, section 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 
@@ -65,18 +67,18 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     Defined cases: only strictly earlier responses count; of several at one time the
     largest record_id wins; records of another or null kind, and responses without
     record_id, URL or time, resolve nothing; a revisit without URL or time is
-    ``missing``; null headers count as empty; repeated rows each give a row (of
-    repeated responses one is used); an empty table gives an empty table; further
-    columns are not read.
+    ``missing``; null headers count as empty; repeated rows, and rows that share a
+    record_id or have none, each give a row, by their own headers; of responses that
+    share id, URL and time, the one whose headers and payload hash highest is used; an
+    empty table gives an empty table; further columns are not read.
     """
     from kinweave.session import materialise
 
     headers = F.coalesce("headers", F.expr("cast(map() as map<string,string>)"))
-    keyed = records.select("record_id", "kind", "url", "captured", canonical_url(F.col("url")).alias("canonical"))
+    own = F.when(F.col("kind") == "revisit", headers)  # a revisit's headers go with its row
+    keyed = records.select("record_id", "kind", "url", "captured", canonical_url(F.col("url")).alias("canonical"), own.alias("own"))
     keyed = materialise(keyed.where("kind in ('response', 'revisit')"), "warc-keys")
-    ends = keyed.agg(F.min("captured").alias("a"), F.max("captured").alias("b")).first()
-    first, width = ends.a or 0, ((ends.b or 0) - (ends.a or 0)) // SPANS + 1
-    span = F.floor((F.col("captured") - first) / width).cast("int")
+    span = bucket(F.col("captured"), bounds(keyed, "captured", SPANS))
     timed = keyed.where("canonical is not null and captured is not null and (kind = 'revisit' or record_id is not null)").withColumn("span", span)
     full = F.when(F.col("kind") == "response", F.struct("captured", "record_id"))
 
@@ -88,24 +90,23 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         timed.withColumn("near", F.max(full).over(inside))
         .where("kind = 'revisit'")
         .join(carried, ["canonical", "span"])
-        .select("record_id", "url", "captured", "canonical", F.coalesce("near", "carried").alias("match"))
+        .select("record_id", "url", "captured", "canonical", "own", F.coalesce("near", "carried").alias("match"))
     )
     lost = keyed.where("kind = 'revisit' and (canonical is null or captured is null)").select(
-        "record_id", "url", "captured", "canonical", F.lit(None).cast("struct<captured:bigint,record_id:bigint>").alias("match")
+        "record_id", "url", "captured", "canonical", "own", F.lit(None).cast("struct<captured:bigint,record_id:bigint>").alias("match")
     )
-    own = records.where("kind = 'revisit'").select(F.col("record_id").alias("own_id"), headers.alias("own")).dropDuplicates(["own_id"])
-    found = found.unionByName(lost).join(own, F.col("record_id").eqNullSafe(F.col("own_id")), "left")
-    used = (
-        records.where("kind = 'response' and record_id is not null")
-        .select(F.col("record_id").alias("refers_to"), headers.alias("full_headers"), F.col("payload").alias("full_payload"))
-        .dropDuplicates(["refers_to"])
+    found = found.unionByName(lost).withColumns({"refers_to": F.col("match.record_id"), "refers_captured": F.col("match.captured")})
+    held = records.where("kind = 'response' and record_id is not null and captured is not null").select(
+        F.col("record_id").alias("refers_to"), F.col("captured").alias("refers_captured"), canonical_url(F.col("url")).alias("canonical"), headers.alias("full_headers"), F.col("payload").alias("full_payload")
     )
-    joined = found.withColumn("refers_to", F.col("match.record_id")).join(used, "refers_to", "left")
+    one = ["refers_to", "refers_captured", "canonical"]
+    order = F.xxhash64(F.array_sort(F.map_entries("full_headers")), "full_payload")
+    used = held.groupBy(*one).agg(F.max_by(F.struct("full_headers", "full_payload"), order).alias("full")).select(*one, "full.*")
+    joined = found.join(used, one, "left")
     judged = joined.withColumn("verdict", F.when(F.col("refers_to").isNull(), "missing").otherwise(verdict(F.col("own"), F.col("full_headers"))))
     stands = F.col("verdict").isin("valid", "unchecked")
     return judged.select(
-        "record_id", "url", "captured", "canonical", "refers_to",
-        F.col("match.captured").alias("refers_captured"), "verdict",
+        "record_id", "url", "captured", "canonical", "refers_to", "refers_captured", "verdict",
         F.when(stands, merge_headers(F.col("own"), F.col("full_headers"))).otherwise(F.col("own")).alias("headers"),
         F.when(stands, F.col("full_payload")).alias("payload"),
     )

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ def spots(text):
     out = set()
     for i, w in enumerate(marked):
         after = [marked[j] for j in content if j > i][:2]
-        if w.startswith("#") and len(after) == 2:
-            out.add((w, *after))
-    return out or {("whole", " ".join(words) or text)}
+        own = not w.startswith("#") and zlib.crc32(w.encode()) % spotsigs.OWN_ANCHORS == 0
+        if (w.startswith("#") or own) and len(after) == 2:
+            out.add(("~" * own + w, *after))
+    return out if len(out) > 1 else out | {("whole", " ".join(words) or text)}
 
 
 def likeness(a, b):
@@ -61,6 +64,17 @@ def test_odd_texts(spark):
     assert spotsigs.fingerprints(df.limit(0)).count() == 0
 
 
+def test_texts_without_listed_words(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("bcdgklmprstvz", k=6))
+    long_ = [" ".join(["onno", "bokko"] + [word() for _ in range(n)]) for n in (400, 400, 12, 12)]
+    half = [t[: len(t) // 2] + " " + " ".join(word() for _ in range(200)) for t in long_[:1]]
+    df = spark.createDataFrame(list(enumerate(long_ + half)), "doc_id int, text string")
+    sets = {r.doc_id: set(r.spots) for r in spotsigs.fingerprints(df).collect()}
+    assert likeness(sets[0], sets[1]) < 0.05 and likeness(sets[2], sets[3]) <= 0.34
+    assert 0.2 < likeness(sets[0], sets[4]) < 0.5 and len(sets[0]) > 60
+
+
 def test_near_pairs_against_brute_force(spark, sf):
     prints = spotsigs.fingerprints(spark.read.parquet(f"{sf}/documents.parquet"))
     rows = {r.doc_id: frozenset(r.spots) for r in prints.collect()}
@@ -120,3 +134,17 @@ def test_one_hot_url_over_spans(spark):
     full = [(r[3], r[0]) for r in rows if r[1] == "response"]
     want = {r[0]: max((f for f in full if f[0] < r[3]), default=(None, None))[1] for r in rows if r[1] == "revisit"}
     assert {r.record_id: r.refers_to for r in warc.resolve_revisits(df).collect()} == want
+
+
+def test_revisits_that_share_an_id_or_have_none(spark):
+    rows = [
+        record(1, "response", "http://a.org/x", 10, "one", etag='"e1"'), record(1, "response", "http://b.org/x", 10, "other", etag='"e9"'),
+        record(None, "revisit", "http://a.org/x", 20, None, etag='"e1"'), record(None, "revisit", "http://a.org/x", 20, None, etag='"e2"'),
+        record(7, "revisit", "http://a.org/x", 30, None, etag='"e3"'), record(7, "revisit", "http://b.org/x", 30, None, etag='"e9"'),
+    ]
+    df = spark.createDataFrame(rows, "record_id long, kind string, url string, captured long, headers map<string,string>, payload string, x string")
+    got = sorted((r.record_id or 0, r.canonical, r.headers["etag"], r.verdict, r.payload or "") for r in warc.resolve_revisits(df).collect())
+    assert got == [
+        (0, "a.org/x", '"e1"', "valid", "one"), (0, "a.org/x", '"e2"', "mismatch", ""),
+        (7, "a.org/x", '"e3"', "mismatch", ""), (7, "b.org/x", '"e9"', "valid", "other"),
+    ]
