@@ -44,7 +44,7 @@ class MergeReplay:
 
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
-        ranks = {t: i for i, t in enumerate(tokens) if t}
+        ranks = self.ranks = {t: i for i, t in enumerate(tokens) if t}
         self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = {}
         for token, rank in ranks.items():
@@ -74,6 +74,7 @@ class MergeReplay:
         first = np.ones(len(places), dtype=bool)
         first[1:] = follows[places[:-1]] != places[1:]
         run = np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))
+        every = places
         places = places[(np.arange(len(places)) - run) % 2 == 0]
         gone = follows[places]
         after, before = follows[gone], comes[places]
@@ -87,11 +88,11 @@ class MergeReplay:
         lower = ((right >= 0) & (right < r)) | ((left >= 0) & (left < r))
         if not lower.any():
             return places, places[:0]
-        careful = np.isin(word_of[places], word_of[places[lower]])
-        head = np.ones(len(places), dtype=bool)
-        head[1:] = word_of[places[1:]] != word_of[places[:-1]]
-        now = ~careful | head
-        return places[now], places[~now]
+        careful = word_of[places[lower]]
+        head = np.ones(len(every), dtype=bool)
+        head[1:] = ~same
+        wait = np.isin(word_of[every], careful) & ~head
+        return np.setdiff1d(places, every[wait], assume_unique=True), every[wait]
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, one after the other (32-bit), and how many each has."""
@@ -207,7 +208,13 @@ class Codec:
         coded = [np.fromiter(map(number, self.split(t)), dtype=np.int32) for t in texts]
         new = [w.encode("utf-8", "surrogatepass") for w in islice(self.numbers, before, None)]
         self.known_chars += sum(map(len, new))
-        ids, sizes = self.replay.encode(new)
+        # A word that is a token itself is that token, whatever the merges would give.
+        whole = np.array([self.replay.ranks.get(w, -1) for w in new], dtype=np.int32)
+        merged, counts = self.replay.encode([w for w, r in zip(new, whole.tolist()) if r < 0])
+        sizes = np.ones(len(new), dtype=np.int64)
+        sizes[whole < 0] = counts
+        ids = np.repeat(whole, sizes)
+        ids[ids < 0] = merged
         self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes)))
         self.ids = np.concatenate((self.ids, ids))
         return [self._gather(words) for words in coded]

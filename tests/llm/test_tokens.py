@@ -1,6 +1,8 @@
 """Byte-level BPE against tiktoken, and word-piece counts against plain greedy matching."""
 
+import functools
 import random
+import time
 
 import pytest
 
@@ -41,6 +43,28 @@ def test_codec_is_tiktoken(tokens, reference):
         assert codec.decode(ids) == text.encode()
 
 
+@pytest.mark.parametrize("word", ["a" * 1_000_000, "=" * 1_000_000, "na" * 300_000, "".join(random.Random(2).choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))])
+def test_one_very_long_word(tokens, reference, word):
+    codec = bpe.Codec(tokens)
+    begin = time.time()
+    ids = codec.encode([word])[0].tolist()
+    assert time.time() - begin < 10 and ids == reference.encode_ordinary(word)
+
+
+def test_merges_of_one_turn_mind_lower_ranks():
+    # A vocabulary whose ranks are out of order: merging a pair brings up lower ranks in its word.
+    rng = random.Random(7)
+    import tiktoken
+
+    for _ in range(40):
+        longer = {bytes(rng.choices(b"abc", k=rng.randint(2, 5))) for _ in range(30)}
+        made = [bytes([b]) for b in range(256)] + rng.sample(sorted(longer), len(longer))
+        own = tiktoken.Encoding("odd", pat_str=bpe.PATTERN, mergeable_ranks={t: i for i, t in enumerate(made)}, special_tokens={})
+        codec = bpe.Codec(made)
+        texts = ["".join(rng.choices("abc", k=rng.randint(1, 40))) for _ in range(50)]
+        assert [c.tolist() for c in codec.encode(texts)] == [own.encode_ordinary(t) for t in texts]
+
+
 def test_small_store_changes_nothing(tokens, reference, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_CACHED_WORDS", 5)
     codec = bpe.Codec(tokens)
@@ -63,9 +87,15 @@ def test_encode_table(spark, tokens, reference):
     assert bpe.encode(df.limit(0), tokens).count() == 0
 
 
+@functools.cache
+def longest_of(pieces):
+    return max(map(len, pieces))
+
+
 def greedy(word, pieces):
     n = at = 0
-    longest = max(map(len, pieces))
+    pieces = frozenset(pieces)
+    longest = longest_of(pieces)
     while at < len(word):
         for k in range(min(longest, len(word) - at), 0, -1):
             if word[at : at + k] in pieces:
@@ -88,7 +118,7 @@ def test_automaton_is_greedy():
 
 def test_token_counts_table(spark, sf):
     pieces = token_counts.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    known = set(pieces)
+    known = frozenset(pieces)
     rows = [(1, "a bc d", 1), (2, None, 2), (3, " \n", 3), (None, "日本 x", 4), (1, "a bc d", 1), (7, "verylongword" * 5000, 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
     out = token_counts.token_counts(df, pieces).collect()
