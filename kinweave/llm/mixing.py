@@ -133,6 +133,10 @@ def mix(
 
 
 def repeat_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each row as often as the mix takes it, with ``columns`` only."""
+    """Each row as often as the mix takes it, with ``columns`` only.
+
+    Defined cases: rows that the mix does not take, among them all without words, have no
+    copy; repeated rows each have their copies; an empty table gives an empty table.
+    """
     times = F.explode(F.expr("sequence(1, repetitions)"))
     return mixed.where("repetitions > 0").select(*columns, times.alias("kw_time")).drop("kw_time")

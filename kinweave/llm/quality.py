@@ -114,7 +114,13 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 5, ridge: float = 1e-3) -> Mod
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", per_class: int = MAX_PER_CLASS, seed: int = 5, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """A model from at most ``per_class`` labelled, not held out documents of each class."""
+    """A model from at most ``per_class`` labelled, not held out documents of each class.
+
+    Defined cases: null texts count as empty; labels without a document, other than 0 and 1
+    or of a null id are left out, as is an id with both labels; a document id that repeats
+    is used as often as it stands; without labels, or with one class only, see ``fit``;
+    other columns are not read.
+    """
     chosen = F.broadcast(training_rows(labels, label, per_class, seed))  # at most 2 * per_class rows
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select("label", "text")
 

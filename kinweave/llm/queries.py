@@ -33,8 +33,10 @@ def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
+    import public_tokenizers
+
     docs = table(spark, sf_dir, "documents")
-    coded = bpe.encode(docs, bpe.load_ranks(tokenizer_path(BPE_FILE)), columns=["doc_id"], with_decoded=True)
+    coded = bpe.encode(docs, bpe.load_ranks(tokenizer_path(BPE_FILE)), pattern=public_tokenizers.PATTERN, columns=["doc_id"], with_decoded=True)
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

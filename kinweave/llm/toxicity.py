@@ -5,7 +5,9 @@ Filters of widths 1 to 3 run over all words of a text, the largest answer of eac
 kept, and a logistic layer weighs them. The net is trained in numpy on a bounded sample
 of labelled documents; the first embedding coordinate starts from the log odds with which
 a bucket occurs in either class. Thresholds are calibrated for each language on a part of
-the sample that training does not see. The language is guessed from the text itself.
+the sample that training does not see; a language's own threshold is drawn towards that
+of all languages by the number of its texts in the smaller class, so that few texts move
+it little. The language is guessed from the text itself.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from kinweave.llm.labelled import held_out, training_rows
 #: Bounds of the fit: labelled documents of each class, and the longest text it takes.
 MAX_PER_CLASS = 4000
 MAX_TRAIN_CHARS = 20_000
+#: So many texts of the smaller class weigh as much as the threshold of all languages.
+PRIOR_TEXTS = 30
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -198,20 +202,28 @@ def fit(texts: list[str], labels: np.ndarray, *, seed: int = 3, epochs: int = 4,
             net.step(words_of([texts[i] for i in part]), labels[part], weight, rate / (1 + epoch))
     seen = [words_of([texts[i] for i in held[a : a + 200]]) for a in range(0, len(held), 200)]
     z, language, y = np.concatenate([net.logits(w) for w in seen]), np.concatenate([w.language for w in seen]), labels[held]
-    both = len(set(y.tolist())) == 2
-    net.thresholds[:] = _threshold(z, y) if both else 0.0
+    if len(set(y.tolist())) < 2:
+        return net
+    net.thresholds[:] = everywhere = _threshold(z, y)
     for i in range(len(LANGUAGES)):
         mine = language == i
-        if min((y[mine] == 1).sum(), (y[mine] == 0).sum()) >= 30:
-            net.thresholds[i] = _threshold(z[mine], y[mine])
+        n = min((y[mine] == 1).sum(), (y[mine] == 0).sum())
+        if n:
+            net.thresholds[i] = (n * _threshold(z[mine], y[mine]) + PRIOR_TEXTS * everywhere) / (n + PRIOR_TEXTS)
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = MAX_PER_CLASS, seed: int = 3, id_col: str = "doc_id", text_col: str = "text") -> Net:
-    """A net from at most ``per_class`` labelled, not held out documents of each class, of at most MAX_TRAIN_CHARS."""
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = MAX_PER_CLASS, seed: int = 3, max_chars: int = MAX_TRAIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> Net:
+    """A net from at most ``per_class`` labelled, not held out documents of each class, of at most ``max_chars`` characters.
+
+    Defined cases: null texts count as empty; labels without a document, other than 0 and 1
+    or of a null id are left out, as is an id with both labels; a document id that repeats
+    is used as often as it stands; without labels, or with one class only, see ``fit``;
+    other columns are not read.
+    """
     chosen = F.broadcast(training_rows(labels, label, per_class, seed))  # at most 2 * per_class rows
     text = F.coalesce(F.col(text_col), F.lit(""))
-    sample = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.char_length("text") <= MAX_TRAIN_CHARS)
+    sample = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.char_length("text") <= max_chars)
     rows = sample.join(chosen, "id").select("id", "text", "label").toArrow()
     found = sorted(zip(rows.column("id").to_pylist(), rows.column("text").to_pylist(), rows.column("label").to_pylist()))
     return fit([r[1] for r in found], np.array([r[2] for r in found], dtype=np.int64), seed=seed)
