@@ -24,12 +24,17 @@ def get_session(app: str = "kinweave", master: str | None = None, **conf: str) -
 
 
 def working_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of its own only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``; in a local session without it, as in tests, one of its own.
+
+    On a cluster the folder must be set: a local one would be seen by one machine only.
+    """
     set_by_cluster = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if set_by_cluster:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(set_by_cluster)
         return set_by_cluster
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="kinweave-")
     spark.sparkContext.setCheckpointDir(own)
     return own
