@@ -13,7 +13,7 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 PREFIXES = ("di", "de", "lo", "la", "del", "della", "dello")
 
 #: Particles that are not parts of a name.
-PARTICLES = ("di", "de", "del", "della", "dello", "dei", "degli", "la", "lo", "il", "fu", "e")
+PARTICLES = ("di", "de", "del", "della", "dello", "d", "da", "e", "fu", "detto", "detta")
 
 
 def normal(text: Column) -> Column:
@@ -26,9 +26,9 @@ def canonical(text: Column) -> Column:
     """The form that spellings of one surname share: prefix as one letter, no spaces, no doubled letters."""
     whole = normal(text)
     out = F.when(F.lit(False), whole)
-    for p in PREFIXES:
+    for p in PREFIXES:  # standing apart it counts whatever follows; written as one, from three letters on
         rest = F.substring(whole, len(p) + 1, 10_000)
-        out = out.when(whole.startswith(p) & (F.char_length(whole) > len(p) + 2), F.concat(F.lit(p[0]), rest))
+        out = out.when(whole.startswith(p + " ") | (whole.startswith(p) & (F.char_length(whole) > len(p) + 2)), F.concat(F.lit(p[0]), rest))
     return F.regexp_replace(F.regexp_replace(out.otherwise(whole), " ", ""), r"(.)\1+", "$1")
 
 
@@ -41,10 +41,16 @@ def doubtful(text: Column) -> Column:
 
 
 def alternatives(text: Column) -> Column:
-    """``struct(main, others)``: the reading before the bracket and those in it, ``X [A/B]`` or ``X [o Y]``."""
+    """``struct(main, others)`` of ``X [A/B]``, ``X [o Y]``, ``A / B`` and of letters supplied, ``B[e]r[t]i``."""
+    supplied = text.rlike(r"\p{L}\[\p{L}+\]|\[\p{L}+\]\p{L}")
     inside = F.regexp_extract(text, r"\[(?:o\s+)?([^\]?]+)\]", 1)
     main = F.trim(F.regexp_replace(text, r"\s*\[[^\]]*\]", ""))
-    others = F.filter(F.transform(F.split(inside, r"\s*/\s*"), F.trim), lambda x: x != "")
+    listed = lambda c: F.filter(F.transform(F.split(c, r"\s*/\s*"), F.trim), lambda x: x != "")
+    slashed = listed(text)
+    whole, bare = F.regexp_replace(text, r"[\[\]]", ""), F.regexp_replace(text, r"\[[^\]]*\]", "")
+    two = ~text.contains("[") & (F.size(slashed) > 1)
+    main = F.when(supplied, whole).when(two, F.get(slashed, F.lit(0))).otherwise(main)
+    others = F.when(supplied, F.array(bare)).when(two, F.slice(slashed, 2, F.size(slashed))).otherwise(listed(inside))
     return F.struct(F.nullif(main, F.lit("")).alias("main"), F.array_distinct(others).alias("others"))
 
 
@@ -78,3 +84,123 @@ def first_year(text: Column) -> Column:
 def first_present(*columns: Column) -> Column:
     """The first value that is neither null nor blank."""
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in columns])
+
+
+def note_alternatives(note: Column) -> Column:
+    """Other readings that a note gives, by the first form of words that finds any; empty for none.
+
+    "leggibile anche X", then "potrebbe essere X" and "forse X", then "X o Y".
+    """
+    word = r"['\"]?(\p{Lu}[\p{L}']+(?:\s\p{Lu}[\p{L}']+)?)"
+    ways = [r"(?i:(?:leggibile|leggersi|letto)\s+(?:anche\s+)?(?:come\s+)?)" + word, r"(?i:(?:potrebbe\s+(?:essere|leggersi)|forse)\s+)" + word, r"\p{Lu}[\p{L}']+\s+o\s+" + word]
+    found = [F.array_distinct(F.regexp_extract_all(F.coalesce(note, F.lit("")), F.lit(w), F.lit(1))) for w in ways]
+    return F.when(F.size(found[0]) > 0, found[0]).when(F.size(found[1]) > 0, found[1]).otherwise(found[2])
+
+
+def filiation(surname: Column, balance: Column) -> Column:
+    """``struct(surname, father)`` of "Lella fu Michele": what follows is a father if it is seldom a surname (balance at most .35)."""
+    pattern = r"^(.+?)\s+(?:fu|di)\s+(\p{Lu}[\p{L}'’]{2,})$"
+    hit = (F.regexp_extract(surname, pattern, 2) != "") & (F.coalesce(balance, F.lit(0.0)) <= 0.35)
+    return F.struct(F.when(hit, F.regexp_extract(surname, pattern, 1)).otherwise(surname).alias("surname"), F.when(hit, F.regexp_extract(surname, pattern, 2)).alias("father"))
+
+
+def untitled(name: Column) -> Column:
+    """``struct(name, title)``: a title before the name taken off."""
+    pattern = r"(?i)^(don|donna|signor[ae]?|sig\.(?:ra)?|dottor(?:e)?|dott\.|notar(?:o)?|reverendo|rev\.|sacerdote|arciprete|barone|cavaliere)\s+"
+    return F.struct(F.regexp_replace(name, pattern, "").alias("name"), F.nullif(F.lower(F.regexp_extract(name, pattern, 1)), F.lit("")).alias("title"))
+
+
+def apposition(name: Column) -> Column:
+    """``struct(name, status)`` of "Anna sua moglie", "Anna vedova di Luca": what follows the name taken off, widowhood and death kept."""
+    pattern = r"(?i),?\s+((?:sua|di lui)\s+(?:legittima\s+)?moglie|(?:suo\s+)?marito|vedov[ao]|defunt[ao]|nubile|celibe)\b.*$"
+    said = F.lower(F.regexp_extract(name, pattern, 1))
+    status = F.when(said.rlike("^(vedov|defunt|nubile|celibe)"), said).when(said.contains("moglie"), "coniugata").when(said.contains("marito"), "coniugato")
+    return F.struct(F.regexp_replace(name, pattern, "").alias("name"), status.alias("status"))
+
+
+#: Words that open the name of a place within a town, and words that say nothing in it.
+PLACE_WORDS = ("strada", "via", "vico", "vicolo", "contrada", "rione", "largo", "piazza", "casale", "masseria", "borgo", "quartiere", "sobborgo")
+EMPTY_WORDS = ("strada", "via", "vico", "vicolo", "contrada", "rione", "largo", "piazza", "di", "del", "della", "dello", "dei", "delle", "detta", "detto", "la", "lo", "il", "le", "a", "al", "alla", "in", "piedi", "sita", "sito")
+
+
+def place_core(text: Column) -> Column:
+    """The words that tell one place of a town from another: from the opening word on, at most 40 characters, empty words left out."""
+    found = F.regexp_extract(text, r"(?i)\b(?:" + "|".join(PLACE_WORDS) + r")\b.{0,40}", 0)
+    words = F.filter(F.split(normal(found), r"[\s.,]+"), lambda w: (w != "") & ~w.isin(*EMPTY_WORDS))
+    return F.nullif(F.array_join(words, " "), F.lit(""))
+
+
+def town_and_rest(place: Column, town: str) -> Column:
+    """``struct(town, rest)``: the town only where it stands at the head of a place."""
+    n = len(town.split())
+    trimmed = F.trim(place)
+    words = F.split(trimmed, r"\s+")
+    head = F.regexp_replace(normal(F.array_join(F.slice(words, 1, n), " ")), r"[,;:.–—]", "")
+    at_head = F.trim(head) == F.lit(town.lower())
+    rest = F.trim(F.regexp_replace(F.array_join(F.slice(words, n + 1, F.greatest(F.size(words) - n, F.lit(0))), " "), r"^\s*[,;:\-–—]\s*|\s*[,;:]\s*$", ""))
+    return F.struct(F.when(at_head, F.lit(town)).alias("town"), F.nullif(F.when(at_head, rest).otherwise(trimmed), F.lit("")).alias("rest"))
+
+
+def street(place: Column, town: str) -> Column:
+    """The part of a place that says where in the town: what opens like a street, or what follows the town with a proper name."""
+    parts = town_and_rest(place, town)
+    opens = parts["rest"].rlike(r"(?i)\b(" + "|".join(PLACE_WORDS) + r")\b")
+    return F.when(opens | (parts["town"].isNotNull() & parts["rest"].rlike(r"\b\p{Lu}\p{Ll}")), parts["rest"])
+
+
+def corrected(text: Column, glossary: dict[str, str], surnames: list[str] | None = None) -> Column:
+    """Wrong words of a glossary put right inside a text, longest first, whole words whatever their case.
+
+    A word that stands inside one of the compound ``surnames`` is left alone. The glossary
+    is configuration, some hundred entries; it becomes one chain of replacements.
+    """
+    out = text
+    for wrong in sorted((w for w in glossary if w and glossary[w] != w), key=lambda w: (-len(w), w)):
+        quoted = r"\Q" + wrong + r"\E"
+        guard = "".join(r"(?<!\b\Q" + c[: c.lower().find(wrong.lower())] + r"\E)" for c in surnames or [] if c.lower().find(wrong.lower()) > 0)
+        after = "".join(r"(?!\Q" + c[len(wrong) :] + r"\E\b)" for c in surnames or [] if c.lower().startswith(wrong.lower() + " "))
+        out = F.regexp_replace(out, r"(?iu)" + guard + r"(?<![\p{L}])" + quoted + r"(?![\p{L}])" + after, glossary[wrong].replace("\\", "\\\\").replace("$", "\\$"))
+    return out
+
+
+def snippet(text: Column, word: Column, around: int = 90) -> Column:
+    """The text around the first place of a word, with dots where it is cut; null without the word."""
+    at = F.instr(F.lower(text), F.lower(word))
+    begin = F.greatest(at - around, F.lit(1))
+    end = F.least(at + F.char_length(word) + around, F.char_length(text) + 1)
+    cut = F.concat(F.when(begin > 1, "…").otherwise(""), F.substring(text, begin, end - begin), F.when(end <= F.char_length(text), "…").otherwise(""))
+    return F.when(at > 0, cut)
+
+
+def place_in_text(text: Column, word: Column) -> Column:
+    """Where a word first stands in a text, from 0 to 1; null if it does not."""
+    at = F.instr(F.lower(text), F.lower(word))
+    return F.when(at > 0, (at - 1) / F.greatest(F.char_length(text), F.lit(1)))
+
+
+#: Answers and the verdict they stand for.
+VERDICTS = {"si": "yes", "sì": "yes", "yes": "yes", "stessa": "yes", "uguale": "yes", "confermo": "yes", "no": "no", "diversa": "no", "diversi": "no", "rifiuto": "no", "dubbio": "unsure", "incerto": "unsure", "non so": "unsure", "forse": "unsure", "illeggibile": "unreadable"}
+
+
+def verdict_of(answer: Column) -> Column:
+    """The canonical verdict of an answer, or null for one that is not known."""
+    pairs = [F.lit(x) for pair in VERDICTS.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), F.trim(F.regexp_replace(F.lower(answer), r"[.!]+$", "")))
+
+
+def label_of(code: Column, labels: dict[str, str]) -> Column:
+    """The label of a code; a code without one is its own."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in labels.items() for x in pair]), code), code)
+
+
+def json_block(text: Column) -> Column:
+    """The JSON object or list inside a free text: what stands between fences, else from the first bracket to the last."""
+    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)```", 1)
+    bare = F.regexp_extract(text, r"(?s)([\[{].*[\]}])", 1)
+    return F.nullif(F.trim(F.when(fenced != "", fenced).otherwise(bare)), F.lit(""))
+
+
+def joined(*columns: Column) -> Column:
+    """The distinct values that are neither null nor blank, in order, with bars between."""
+    kept = F.filter(F.transform(F.array(*columns), F.trim), lambda x: x.isNotNull() & (x != ""))
+    return F.nullif(F.array_join(F.array_distinct(kept), " | "), F.lit(""))

@@ -27,15 +27,14 @@ def same_event(rows: DataFrame, shared: int = 2) -> DataFrame:
 
     ``rows``: ``act, register, type, year, role, name, surname``. A signature is role, name
     and surname in lower case. Signatures are joined inside the act's key, so acts are
-    never paired unless they have one in common; a signature that more than 60 acts of a
-    register, type and year have says nothing about which of them are one event.
+    never paired unless they have one in common. A signature that many acts hold is dealt
+    to parts, and every part meets every part in a task of its own.
     """
+    from kinweave.operators.blocking import meet
+
     signed = rows.where("name is not null and surname is not null").select("act", "register", "type", "year", F.xxhash64(F.lower("role"), F.lower("name"), F.lower("surname")).alias("s")).distinct()
-    keys = ["register", "type", "year", "s"]
-    telling = signed.groupBy(keys).agg(F.count("*").alias("n")).where("n between 2 and 60").select(keys)
-    inside = signed.join(telling, keys)
-    pairs = inside.join(inside.withColumnRenamed("act", "other"), keys).where("act < other")
-    return pairs.groupBy(F.col("act").alias("a"), F.col("other").alias("b")).agg(F.count("*").alias("common")).where(F.col("common") >= shared)
+    pairs = meet(signed, ["register", "type", "year", "s"], "act", distinct=False)
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("common")).where(F.col("common") >= shared)
 
 
 def split_by_span(members: DataFrame, cluster: str, value: str, most: int) -> DataFrame:

@@ -1,25 +1,34 @@
 """Family tables and the checks a family graph must pass.
 
-Tables: ``people(id, sex, birth, death)``, ``parents(child, parent, kind)`` with kind
-``father`` or ``mother``, ``unions(id, husband, wife, year)``. Unknown years are null, and
-an unknown year never contradicts anything. Every check returns the ids it objects to;
-CHECKS names each with its category and the population it is measured against.
+Tables: ``people(id, sex, birth, death, name, surname, born, certain)`` (``certain``: the
+year of birth is that of a birth record, ``born`` its day), ``parents(child, parent, kind)``
+with kind ``father`` or ``mother``, ``unions(id, husband, wife, year, documented)`` and
+``mentions(person, act, year, type, role, name, surname, age, at_least, status)``. Unknown
+years are null, and an unknown year never contradicts anything. Every check returns the
+ids it objects to; CHECKS names each with its category and the population it is measured
+against. Checks of names, days or mentions ask for those columns only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.functions.similarity import name_similarity_udf
+from kinweave.functions.text import name_parts, normal
+
 
 @dataclass
 class Family:
     people: DataFrame
     parents: DataFrame
     unions: DataFrame
+    mentions: DataFrame | None = None
 
     def linked(self) -> DataFrame:
         """Parent edges with the years of both ends."""
@@ -36,6 +45,17 @@ class Family:
         """Both ends of each union in one column; a union with oneself counts once."""
         return self.unions.select(F.col("id").alias("union_id"), "year", F.explode(F.array_distinct(F.array("husband", "wife"))).alias("id"))
 
+    def broods(self) -> DataFrame:
+        """``father, mother, child`` of each child with both: every father with every mother of it."""
+        side = lambda kind: self.parents.where(F.col("kind") == kind).select("child", F.col("parent").alias(kind)).distinct()
+        return side("father").join(side("mother"), "child")
+
+    def written(self) -> Family:
+        """The same tables written down once, for checks that read them many times."""
+        from kinweave.session import materialise
+
+        return Family(*[None if t is None else materialise(t, "family") for t in (self.people, self.parents, self.unions, self.mentions)])
+
 
 def several_parents(kind: str) -> Callable[[Family], DataFrame]:
     """Children with more than one father (or mother)."""
@@ -103,8 +123,6 @@ def close_kin(f: Family) -> DataFrame:
 
 def written_twice(f: Family) -> DataFrame:
     """Couples in more than one union row, either way round: the later rows."""
-    from pyspark.sql import Window
-
     pair = Window.partitionBy(F.least("husband", "wife"), F.greatest("husband", "wife")).orderBy("id")
     return f.unions.withColumn("n", F.row_number().over(pair)).where("n > 1").select("id")
 
@@ -115,50 +133,265 @@ def many_spouses(f: Family) -> DataFrame:
 
 
 def own_ancestor(f: Family) -> DataFrame:
-    """People on a cycle of the parent graph."""
+    """People from whom parent edges lead back to themselves."""
     from kinweave.operators.graph import cycle_nodes
 
     return cycle_nodes(f.parents.select(F.col("child").alias("a"), F.col("parent").alias("b"))).select(F.col("node").alias("id"))
 
 
+def two_couples(f: Family) -> DataFrame:
+    """Children of more than one couple of a father and a mother."""
+    return f.broods().groupBy("child").agg(F.count("*").alias("n")).where("n > 1").select(F.col("child").alias("id"))
+
+
+def births_too_close(f: Family) -> DataFrame:
+    """Mothers of two children born on different days less than 250 days apart, once for each such pair in a row."""
+    women = f.people.where("sex = 'F'").select(F.col("id").alias("parent"))
+    days = f.parents.where("kind = 'mother'").join(women, "parent").join(f.people.where("certain").select(F.col("id").alias("child"), "born"), "child").select("parent", "born").where("born is not null").distinct()
+    order = Window.partitionBy("parent").orderBy("born")
+    return days.withColumn("gap", F.datediff("born", F.lag("born").over(order))).where("gap < 250").select(F.col("parent").alias("id"))
+
+
+#: Roles in which only the living act, and words for the dead.
+LIVING = ("groom", "bride", "father", "mother", "declarant", "witness")
+
+
+def acts_after_death(f: Family) -> DataFrame:
+    """People in a living role after the year of their death, once for each act; those called late are not counted."""
+    status = F.coalesce("status", F.lit(""))
+    acts = f.mentions.where(F.col("role").isin(*LIVING) & ~status.ilike("%fu%") & ~status.ilike("%defunt%"))
+    return acts.join(f.people.select(F.col("id").alias("person"), "death"), "person").where("year > death").select(F.col("person").alias("id"))
+
+
+def years_in_role(role: str) -> Callable[[Family], DataFrame]:
+    """People with acts of more than one year in a role that a life has once."""
+
+    def check(f: Family) -> DataFrame:
+        held = f.mentions.where(F.col("role") == role).groupBy("person").agg(F.count_distinct("year").alias("n"))
+        return held.where("n > 1").select(F.col("person").alias("id"))
+
+    return check
+
+
+def _text(f: Family, who: str) -> DataFrame:
+    """``who`` and the parts of its name and surname, for comparisons."""
+    return f.people.select(F.col("id").alias(who), name_parts(F.concat_ws(" ", "name", "surname")).alias(f"{who}_parts"), F.lower(F.concat_ws(" ", "name", "surname")).alias(f"{who}_text"))
+
+
+def duplicate_spouses(f: Family) -> DataFrame:
+    """People with two spouses of one name (similarity .80), once for each pair; not where the one had died by the other's wedding."""
+    wed = f.unions.where("husband is not null and wife is not null")
+    sides = wed.select(F.col("husband").alias("id"), F.col("wife").alias("s"), "year").unionByName(wed.select(F.col("wife").alias("id"), F.col("husband").alias("s"), "year"))
+    once = sides.groupBy("id", "s").agg(F.min("year").alias("year"))
+    dead = f.people.select(F.col("id").alias("s"), "death")
+    each = once.join(dead, "s")
+    pairs = each.select("id", F.col("s").alias("a"), F.col("year").alias("ya"), F.col("death").alias("da")).join(each.select("id", F.col("s").alias("b"), F.col("year").alias("yb"), F.col("death").alias("db")), "id").where("a < b")
+    pairs = pairs.where(~F.coalesce(F.col("da") <= F.col("yb"), F.lit(False)) & ~F.coalesce(F.col("db") <= F.col("ya"), F.lit(False)))
+    named = pairs.join(_text(f, "a"), "a").join(_text(f, "b"), "b")
+    return named.where(name_similarity_udf("a_parts", "b_parts") >= 0.8).select("id")
+
+
+def same_birth_homonyms(f: Family) -> DataFrame:
+    """Groups of one name, surname and certain year of birth in which two share a parent's name, or one has no parents: their smallest id."""
+    held = f.people.where("certain and birth is not null and name is not null and surname is not null").select("id", "name", "surname", "birth")
+    parents = f.parents.join(f.people.select(F.col("id").alias("parent"), F.col("name").alias("pn"), F.col("surname").alias("ps")), "parent").where("pn is not null").select(F.col("child").alias("id"), "pn", "ps").distinct()
+    keys = ["name", "surname", "birth"]
+    groups = held.join(parents.select("id").distinct().withColumn("known", F.lit(1)), "id", "left").groupBy(*keys).agg(F.count("*").alias("n"), F.count("known").alias("known"), F.min("id").alias("id")).where("n > 1")
+    shared = held.join(parents, "id").groupBy(*keys, "pn", "ps").agg(F.count_distinct("id").alias("m")).where("m > 1").select(*keys).distinct().withColumn("shared", F.lit(True))
+    return groups.join(shared, keys, "left").where("known < n or shared").select("id")
+
+
+def twin_couples(f: Family) -> DataFrame:
+    """Two couples with children whose names are the same two (similarity .80): the smaller father's id, once for each pair.
+
+    Couples meet by the first three letters of both given names. Left out are pairs whose
+    children span more than 35 years together, whose parents were under 13 for them, who
+    have two deaths or two certain births of different years, whose houses were each read
+    three times or more and never crossed, or of whom one died more than a year before the
+    other couple's last child.
+    """
+    from kinweave.operators.blocking import meet
+
+    births = f.people.select(F.col("id").alias("child"), F.col("birth").alias("cb"))
+    couples = f.broods().join(births, "child").groupBy("father", "mother").agg(F.min("cb").alias("first"), F.max("cb").alias("last"))
+    for who in ("father", "mother"):
+        facts = f.people.select(F.col("id").alias(who), *[F.col(c).alias(f"{who}_{c}") for c in ("birth", "death", "certain")])
+        couples = couples.join(facts, who).join(_text(f, who), who)
+    keyed = couples.select(F.struct("father", "mother").alias("couple"), F.concat_ws("|", F.substring("father_text", 1, 3), F.substring("mother_text", 1, 3)).alias("key"))
+    met = meet(keyed, ["key"], "couple")
+    side = lambda s: couples.select(F.struct("father", "mother").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in couples.columns])
+    pairs = met.join(side("a"), "a").join(side("b"), "b")
+    known = lambda c: F.coalesce(c, F.lit(False))
+    first, last = F.least("a_first", "b_first"), F.greatest("a_last", "b_last")
+    out = known(last - first > 35)
+    for s in ("a", "b"):
+        for who in ("father", "mother"):
+            out |= known(F.col(f"{s}_{who}_certain") & (first < F.col(f"{s}_{who}_birth") + 13))
+            out |= known(F.col(f"{'b' if s == 'a' else 'a'}_last") > F.col(f"{s}_{who}_death") + 1)
+    for who in ("father", "mother"):
+        two = known(F.col(f"a_{who}_death") != F.col(f"b_{who}_death")) | known(F.col(f"a_{who}_certain") & F.col(f"b_{who}_certain") & (F.col(f"a_{who}_birth") != F.col(f"b_{who}_birth")))
+        out |= (F.col(f"a_{who}") != F.col(f"b_{who}")) & two
+    pairs = pairs.where(~out)
+    read = f.mentions.where("surname is not null").groupBy(F.col("person").alias("id"), F.lower("surname").alias("surname")).agg(F.count("*").alias("n"))
+    houses = read.groupBy("id").agg(F.max_by("surname", F.struct("n", "surname")).alias("house"), F.max("n").alias("most"), F.collect_set("surname").alias("all"))
+    for s in ("a", "b"):
+        pairs = pairs.join(houses.select(F.col("id").alias(f"{s}_father"), *[F.col(c).alias(f"{s}_{c}") for c in ("house", "most", "all")]), f"{s}_father", "left")
+    apart = (F.col("a_house") != F.col("b_house")) & (F.least("a_most", "b_most") >= 3) & ~F.array_contains("a_all", F.col("b_house")) & ~F.array_contains("b_all", F.col("a_house"))
+    pairs = pairs.where(~known(apart & (F.col("a_father") != F.col("b_father"))))
+    alike = (name_similarity_udf("a_father_parts", "b_father_parts") >= 0.8) & (name_similarity_udf("a_mother_parts", "b_mother_parts") >= 0.8)
+    return pairs.where(alike).select(F.least("a_father", "b_father").alias("id"))
+
+
+def living_same_name_siblings(f: Family) -> DataFrame:
+    """Children of a couple named like the one before them, who has no death and is seen after their birth: once for each couple."""
+    seen = f.mentions.groupBy(F.col("person").alias("child")).agg(F.max("year").alias("seen"))
+    baptised = f.mentions.where("role = 'newborn' and name is not null").groupBy(F.col("person").alias("child")).agg(F.collect_set(F.lower("name")).alias("given"))
+    people = f.people.where("name is not null and name <> ''").select(F.col("id").alias("child"), F.lower("name").alias("key"), "birth", "death")
+    rows = f.broods().join(people, "child").join(seen, "child", "left").join(baptised, "child", "left")
+    order = Window.partitionBy("father", "mother", "key").orderBy(F.col("birth").asc_nulls_first(), "child")
+    before = lambda c: F.lag(c).over(order)
+    rows = rows.withColumns({"twin": before("child"), "twin_death": before("death"), "twin_seen": before("seen"), "twin_given": before("given")})
+    alive = F.col("twin_death").isNull() & (F.col("birth").isNull() | (F.coalesce("twin_seen", F.lit(0)) > F.col("birth")))
+    disjoint = F.coalesce(~F.arrays_overlap("twin_given", "given"), F.lit(False))
+    return rows.where(F.col("twin").isNotNull() & alive & ~disjoint).select(F.col("child").alias("id"))
+
+
+def _leaders(names: pd.Series) -> pd.Series:
+    from kinweave.functions.similarity import similarity
+
+    def count(forms: list[str]) -> int:
+        leaders: list[str] = []
+        for form in sorted(forms):
+            if all(similarity(form, other) < 0.72 for other in leaders):
+                leaders.append(form)
+        return len(leaders)
+
+    return pd.Series([0 if forms is None else count(list(forms)) for forms in names], dtype="int32")
+
+
+def irreconcilable_surnames(f: Family) -> DataFrame:
+    """People with more than four surnames no two of which are alike (.72), unless they have just one spouse."""
+    held = f.mentions.where("surname is not null").groupBy(F.col("person").alias("id")).agg(F.collect_set(F.regexp_replace(normal(F.col("surname")), " ", "")).alias("forms")).where("size(forms) > 4")
+    wed = f.spouses().groupBy("id").agg(F.count("*").alias("n"))
+    found = held.join(wed, "id", "left").where("coalesce(n, 0) <> 1")
+    return found.where(F.pandas_udf(_leaders, "int")("forms") > 4).select("id")
+
+
+def age_against_birth(f: Family) -> DataFrame:
+    """People whose stated age is more than ten years off their birth record, once for each mention; bounds are not ages."""
+    stated = f.mentions.where("age is not null and not coalesce(at_least, false)")
+    return stated.join(f.people.where("certain").select(F.col("id").alias("person"), "birth"), "person").where("abs(year - age - birth) > 10").select(F.col("person").alias("id"))
+
+
 #: name: (category, check, population)
 CHECKS: dict[str, tuple[str, Callable[[Family], DataFrame], str]] = {
-    "two_fathers": ("impossible", several_parents("father"), "children"),
-    "two_mothers": ("impossible", several_parents("mother"), "children"),
-    "parent_too_young": ("impossible", parent_too_young, "links"),
-    "parent_too_old": ("impossible", parent_too_old, "links"),
-    "born_after_death": ("impossible", born_after_death, "links"),
-    "bearing_span": ("impossible", bearing_span, "mothers"),
-    "death_before_birth": ("impossible", death_before_birth, "people"),
-    "too_long_a_life": ("impossible", too_long_a_life, "people"),
+    "two_fathers": ("impossible", several_parents("father"), "children with a father"),
+    "two_mothers": ("impossible", several_parents("mother"), "children with a mother"),
+    "two_couples": ("impossible", two_couples, "children with both"),
+    "births_too_close": ("impossible", births_too_close, "mothers of several"),
+    "parent_too_young": ("impossible", parent_too_young, "links with both births"),
+    "parent_too_old": ("impossible", parent_too_old, "links with parent's birth"),
+    "bearing_span": ("impossible", bearing_span, "mothers of several"),
+    "born_after_death": ("impossible", born_after_death, "links with parent's death"),
+    "acts_after_death": ("impossible", acts_after_death, "mentions of the dead"),
+    "two_deaths": ("impossible", years_in_role("deceased"), "dead"),
+    "two_births": ("impossible", years_in_role("newborn"), "certain births"),
+    "death_before_birth": ("impossible", death_before_birth, "both years known"),
+    "too_long_a_life": ("impossible", too_long_a_life, "both years known"),
+    "close_kin": ("impossible", close_kin, "unions"),
     "married_to_self": ("impossible", married_to_self, "unions"),
     "same_sex_union": ("impossible", same_sex_union, "unions"),
-    "marrying_age": ("impossible", marrying_age, "unions"),
-    "close_kin": ("impossible", close_kin, "unions"),
     "written_twice": ("impossible", written_twice, "unions"),
+    "marrying_age": ("impossible", marrying_age, "documented unions"),
+    "own_ancestor": ("impossible", own_ancestor, "children"),
+    "duplicate_spouses": ("fragmentation", duplicate_spouses, "several unions"),
+    "same_birth_homonyms": ("fragmentation", same_birth_homonyms, "certain births"),
+    "twin_couples": ("fragmentation", twin_couples, "couples with children"),
+    "living_same_name_siblings": ("fragmentation", living_same_name_siblings, "couples with children"),
     "many_spouses": ("over-merge", many_spouses, "spouses"),
+    "irreconcilable_surnames": ("over-merge", irreconcilable_surnames, "several mentions"),
+    "age_against_birth": ("suspect", age_against_birth, "ages of certain births"),
 }
 
 
-def scorecard(f: Family, checks: dict[str, tuple[str, Callable[[Family], DataFrame], str]] = CHECKS) -> DataFrame:
-    """``check, category, found, population`` of every check: one row a check, counted apart."""
-    populations = {
-        "people": f.people.select("id"),
-        "children": f.parents.select(F.col("child").alias("id")).distinct(),
-        "links": f.parents.select(F.col("child").alias("id")),
-        "mothers": f.parents.where("kind = 'mother'").select(F.col("parent").alias("id")).distinct(),
-        "unions": f.unions.select("id"),
+def populations(f: Family) -> dict[str, DataFrame]:
+    """What each check is measured against: one row an individual, edge, union or mention."""
+    linked, several = f.linked(), lambda rows, *keys: rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    child = lambda kind: f.parents.where(F.col("kind") == kind).select("child").distinct()
+    people = f.people.select(F.col("id").alias("person"), "death", "certain")
+    return {
         "spouses": f.spouses().select("id").distinct(),
+        "several mentions": several(f.mentions, "person"),
+        "children with a father": child("father"),
+        "children with a mother": child("mother"),
+        "children with both": child("father").intersect(child("mother")),
+        "mothers of several": several(f.parents.where("kind = 'mother'").select("parent", "child").distinct(), "parent"),
+        "links with both births": linked.where("child_birth is not null and parent_birth is not null"),
+        "links with parent's birth": linked.where("parent_birth is not null"),
+        "links with parent's death": linked.where("parent_death is not null"),
+        "mentions of the dead": f.mentions.join(people.where("death is not null"), "person"),
+        "dead": f.people.where("death is not null"),
+        "certain births": f.people.where("certain"),
+        "both years known": f.people.where("birth is not null and death is not null"),
+        "unions": f.unions,
+        "documented unions": f.unions.where("documented"),
+        "children": f.parents.select("child").distinct(),
+        "several unions": several(f.spouses(), "id"),
+        "couples with children": f.broods().select("father", "mother").distinct(),
+        "ages of certain births": f.mentions.where("age is not null").join(people.where("certain"), "person"),
+        "people": f.people,
     }
-    sizes = None
-    for name, rows in populations.items():
-        one = rows.agg(F.count("*").alias("size")).select(F.lit(name).alias("population"), "size")
-        sizes = one if sizes is None else sizes.unionByName(one)
-    out = None
-    for name, (category, check, population) in checks.items():
-        one = check(f).agg(F.count("*").alias("found")).select(F.lit(name).alias("check"), F.lit(category).alias("category"), "found", F.lit(population).alias("population"))
-        out = one if out is None else out.unionByName(one)
-    return out.join(F.broadcast(sizes), "population")  # one row a population
+
+
+def _counted(named: dict[str, DataFrame], key: str, value: str) -> DataFrame:
+    each = [rows.agg(F.count("*").alias(value)).select(F.lit(name).alias(key), value) for name, rows in named.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
+def scorecard(f: Family, checks: dict[str, tuple[str, Callable[[Family], DataFrame], str]] = CHECKS) -> DataFrame:
+    """``check, category, found, population, size`` of every check: one row a check, counted apart."""
+    f = f.written()
+    sizes = _counted({k: v for k, v in populations(f).items() if k in {p for _, _, p in checks.values()}}, "population", "size")
+    names = f.people.sparkSession.createDataFrame([(name, category, population) for name, (category, _, population) in checks.items()], "check string, category string, population string")
+    found = _counted({name: check(f) for name, (_, check, _) in checks.items()}, "check", "found")
+    return found.join(F.broadcast(names), "check").join(F.broadcast(sizes), "population")  # one row a check, one a population
+
+
+def signed_deltas(mine: DataFrame, other: DataFrame) -> DataFrame:
+    """``check, category, mine, other, delta, verdict`` of two scorecards: fewer objections are better."""
+    both = mine.select("check", "category", F.col("found").alias("mine")).join(other.select("check", F.col("found").alias("other")), "check", "full")
+    delta = F.coalesce("mine", F.lit(0)) - F.coalesce("other", F.lit(0))
+    return both.select("check", "category", "mine", "other", delta.alias("delta"), F.when(delta < 0, "better").when(delta > 0, "worse").otherwise("same").alias("verdict"))
+
+
+def linkage_metrics(f: Family) -> DataFrame:
+    """``metric, value``: the twelve figures of a linkage."""
+    f = f.written()
+    by = f.mentions.groupBy(F.col("person").alias("id")).agg(F.count("*").alias("n"), F.max("year").alias("last"))
+    seen = f.people.join(by, "id", "left")
+    parents, kids = f.parents.select(F.col("child").alias("id")).distinct(), f.parents.select(F.col("parent").alias("id")).distinct()
+    chain = f.parents.select("child", "parent").join(f.parents.select(F.col("child").alias("parent"), F.col("parent").alias("grandparent")), "parent")
+    return _counted({
+        "people": f.people,
+        "single mention": seen.where("n = 1"),
+        "with birth act": f.people.where("certain"),
+        "born and seen again": seen.where("certain and n > 1"),
+        "born and seen grown": seen.where("certain and last - birth >= 18"),
+        "born with children": f.people.where("certain").join(kids, "id", "left_semi"),
+        "deaths with known birth": f.people.where("death is not null and certain"),
+        "with parents": parents,
+        "with children": kids,
+        "grandparent chains": chain,
+        "couples": f.broods().select("father", "mother").distinct(),
+        "documented couples": f.unions.where("documented"),
+    }, "metric", "value")
+
+
+def largest_families(f: Family, most: int = 40) -> DataFrame:
+    """``father, mother, children, first, last``: the couples with most children, ties to the smaller ids."""
+    born = f.people.select(F.col("id").alias("child"), "birth")
+    each = f.broods().join(born, "child").groupBy("father", "mother").agg(F.count("*").alias("children"), F.min("birth").alias("first"), F.max("birth").alias("last"))
+    return each.orderBy(F.desc("children"), "father", "mother").limit(most)
 
 
 def clean_parents(f: Family) -> tuple[DataFrame, DataFrame]:
@@ -167,8 +400,6 @@ def clean_parents(f: Family) -> tuple[DataFrame, DataFrame]:
     The rules in order: a parent of another sex than its kind, of impossible age or dead
     before the birth; then, of several of one kind, the one nearest to thirty years older.
     """
-    from pyspark.sql import Window
-
     gap = F.col("child_birth") - F.col("parent_birth")
     reason = (
         F.when((F.col("kind") == "father") != (F.col("parent_sex") == "M"), "sex")
@@ -181,3 +412,85 @@ def clean_parents(f: Family) -> tuple[DataFrame, DataFrame]:
     columns = ["child", "parent", "kind"]
     out = judged.where("reason is not null").select(*columns, "reason").unionByName(sound.where("n > 1").select(*columns, F.lit("second").alias("reason")))
     return sound.where("n = 1").select(*columns), out
+
+
+def spaced_births(f: Family) -> tuple[DataFrame, DataFrame]:
+    """Mothers' edges without children born less than 250 days after another, and those taken out: of such a pair the later."""
+    days = f.people.select(F.col("id").alias("child"), "born")
+    order = Window.partitionBy("parent").orderBy("born", "child")
+    rows = f.parents.where("kind = 'mother'").join(days, "child").withColumn("gap", F.datediff("born", F.lag("born").over(order)))
+    close = F.coalesce((F.col("gap") > 0) & (F.col("gap") < 250), F.lit(False))
+    return rows.where(~close).select("child", "parent", "kind"), rows.where(close).select("child", "parent", "kind", F.lit("spacing").alias("reason"))
+
+
+def within_span(members: DataFrame, group: str, value: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """``members`` whose values of one group span at most ``most``, and those taken out.
+
+    Again and again the value farthest from the group's upper median goes (of two, the
+    larger), until the span fits; a round takes one row of every group still too wide.
+    """
+    from kinweave.session import materialise
+
+    left = materialise(members, "span")
+    out = left.where("false")
+    while True:
+        known = left.where(F.col(value).isNotNull())
+        wide = known.groupBy(group).agg(F.sort_array(F.collect_list(value)).alias("v")).where(F.element_at("v", -1) - F.element_at("v", 1) > most)  # the children of one mother
+        middle = wide.select(group, F.element_at("v", F.floor(F.size("v") / 2).cast("int") + 1).alias("middle"))
+        worst = Window.partitionBy(group).orderBy(F.desc(F.abs(F.col(value) - F.col("middle"))), F.desc(value), *[c for c in members.columns if c not in (group, value)])
+        gone = materialise(known.join(middle, group).withColumn("n", F.row_number().over(worst)).where("n = 1").select(*members.columns), "span-out")
+        if gone.isEmpty():
+            return left, out
+        left, out = materialise(left.join(gone, members.columns, "left_anti"), "span"), out.unionByName(gone)
+
+
+def clean_unions(f: Family) -> tuple[DataFrame, DataFrame]:
+    """Unions after the hard rules, and those taken out with the first reason that holds."""
+    kin, twice = close_kin(f).withColumn("kin", F.lit(True)), written_twice(f).withColumn("twice", F.lit(True))
+    rows = f.unions.join(f.couples().select("id", "husband_sex", "wife_sex", "husband_birth", "wife_birth"), "id", "left").join(kin, "id", "left").join(twice, "id", "left")
+    age = lambda who: F.col("year") - F.col(f"{who}_birth")
+    reason = (
+        F.when(F.col("husband") == F.col("wife"), "self").when(F.col("kin"), "kin").when(F.col("husband_sex") == F.col("wife_sex"), "sex")
+        .when(~age("husband").between(13, 75) | ~age("wife").between(13, 75), "age").when(F.col("twice"), "twice")
+    )
+    judged = rows.withColumn("reason", reason).select(*f.unions.columns, "reason")
+    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
+
+
+def union_edges(marriages: DataFrame, children: DataFrame, people: DataFrame) -> DataFrame:
+    """``husband, wife, year, origin``: one row a couple; a marriage act beats a common child, the earliest year stands.
+
+    ``marriages``: ``husband, wife, year``; ``children``: ``father, mother, year``. The man
+    stands first, by sex and else by id; couples of one sex and of one person are left out.
+    """
+    sex = lambda who: people.select(F.col("id").alias(who), F.col("sex").alias(f"{who}_sex"))
+    said = marriages.select(F.col("husband").alias("x"), F.col("wife").alias("y"), "year", F.lit(0).alias("rank")).unionByName(children.select(F.col("father").alias("x"), F.col("mother").alias("y"), "year", F.lit(1).alias("rank")))
+    rows = said.where("x is not null and y is not null and x <> y").join(sex("x"), "x").join(sex("y"), "y").where("x_sex is null or y_sex is null or x_sex <> y_sex")
+    turn = F.coalesce(F.col("x_sex") == "F", F.col("y_sex") == "M", F.col("x") > F.col("y"))
+    pair = rows.select(F.when(turn, F.col("y")).otherwise(F.col("x")).alias("husband"), F.when(turn, F.col("x")).otherwise(F.col("y")).alias("wife"), "year", "rank")
+    best = pair.groupBy("husband", "wife").agg(F.min("rank").alias("rank"), F.min(F.struct(F.col("rank"), F.col("year").isNull().alias("unknown"), F.col("year"))).alias("first"))
+    return best.select("husband", "wife", F.col("first.year").alias("year"), F.when(F.col("rank") == 0, "marriage").otherwise("child").alias("origin"))
+
+
+def parent_edges(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The parent of each child and kind, and the losers: ``claims`` hold ``child, kind, parent, quality`` row by row.
+
+    The best quality wins, then the most sources, then the smallest id.
+    """
+    held = claims.groupBy("child", "kind", "parent").agg(F.max("quality").alias("quality"), F.count("*").alias("sources"))
+    order = Window.partitionBy("child", "kind").orderBy(F.desc("quality"), F.desc("sources"), "parent")
+    ranked = held.withColumn("n", F.row_number().over(order))
+    return ranked.where("n = 1").drop("n"), ranked.where("n > 1").drop("n")
+
+
+def individuals(mentions: DataFrame, corpus: DataFrame) -> DataFrame:
+    """One row a person: the form of surname best attested in the person and the corpus, years, and how many mentions.
+
+    A form's score is its own count times one more than the logarithm of one more than the
+    corpus's (``corpus``: ``surname, total``); ties go to the larger own count, then the later form.
+    """
+    forms = mentions.where("surname is not null").groupBy("person", "surname").agg(F.count("*").alias("n")).join(corpus, "surname", "left")
+    score = F.col("n") * (1 + F.log10(F.coalesce("total", F.lit(0)) + 1))
+    chosen = forms.groupBy("person").agg(F.max_by("surname", F.struct(F.round(score, 9), "n", "surname")).alias("surname"), F.count("*").alias("forms"))
+    facts = mentions.groupBy("person").agg(F.count("*").alias("mentions"), F.min("year").alias("first"), F.max("year").alias("last"), F.min(F.when(F.col("role") == "newborn", F.col("year"))).alias("birth"), F.min(F.when(F.col("role") == "deceased", F.col("year"))).alias("death"))
+    return facts.join(chosen, "person", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinweave.session import materialise
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` for every node of an undirected edge table.
 
     The component is its smallest node. Each round takes the smallest label among the
@@ -19,7 +19,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
     both = materialise(pairs.union(pairs.select("b", "a")).distinct(), "cc-edges")
     labels = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "cc-labels")
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("m"))
         lower = labels.join(near, labels.node == near.a).select("node", F.least("component", "m").alias("c"), F.col("component").alias("was"))
         root = labels.select(F.col("node").alias("c"), F.col("component").alias("root"))
@@ -28,28 +28,58 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         labels = fresh.select("node", "component")
         if not changed:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def cycle_nodes(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:
-    """The nodes that can belong to a cycle: what is left after peeling.
-
-    Nodes without an edge out or without an edge in are taken away until none is; each
-    round drops them all at once, and the edges left are written down. What remains are
-    cycles and the paths between them; of a graph without cycles, nothing. Loops count.
-    """
-    left = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct(), "peel")
+def _peel(left: DataFrame) -> DataFrame:
+    """Edges whose ends both have an edge in and an edge out, after taking away all others until none is; written down each round."""
     size = left.count()
-    for _ in range(max_rounds):
+    while True:
         outs, ins = left.select("a").distinct(), left.select(F.col("b").alias("a")).distinct()
         both = outs.join(ins, "a", "left_semi")
-        kept = materialise(left.join(both, "a", "left_semi").join(both.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b"), "peel")
-        now = kept.count()
-        left = kept
+        left = materialise(left.join(both, "a", "left_semi").join(both.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b"), "peel")
+        now = left.count()
         if now == size:
-            return left.select(F.col("a").alias("node")).distinct()
+            return left
         size = now
-    raise RuntimeError(f"peeling did not end in {max_rounds} rounds")
+
+
+def _spread(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``node, c``: the largest label among a node's own and those that edges ``a`` to ``b`` carry to it, until nothing changes."""
+    while True:
+        came = edges.join(labels, edges.a == labels.node).groupBy("b").agg(F.max("c").alias("m"))
+        fresh = materialise(labels.join(came, labels.node == came.b, "left").select("node", F.greatest("c", F.coalesce("m", "c")).alias("c"), F.col("c").alias("was")), "spread")
+        changed = fresh.where("c <> was").limit(1).count()
+        labels = fresh.select("node", "c")
+        if not changed:
+            return labels
+
+
+def cycle_nodes(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``node``: the nodes from which edges lead back to themselves. Loops count; nodes between two cycles do not.
+
+    What cannot be on a cycle is peeled away. Then each node takes the largest node that
+    reaches it as its colour; going back from a colour's own node along edges of one
+    colour finds what it can reach and what reaches it. Those are taken out, and the rest
+    is peeled and coloured again. Rounds grow with the length of paths, not with the table.
+    """
+    left = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct(), "peel")
+    found = left.where("a = b").select(F.col("a").alias("node"))
+    left = left.where("a <> b")
+    while True:
+        left = _peel(materialise(left, "peel"))
+        if left.isEmpty():
+            return materialise(found.distinct(), "cycle-nodes")
+        nodes = left.select(F.col("a").alias("node")).distinct()
+        colour = _spread(nodes.withColumn("c", F.col("node")), left)
+        of = lambda end: colour.select(F.col("node").alias(end), F.col("c").alias(f"c{end}"))
+        inside = materialise(left.join(of("a"), "a").join(of("b"), "b").where("ca = cb").select(F.col("b").alias("a"), F.col("a").alias("b"), "ca"), "cycle-inside")
+        # Back from each colour's own node: 1 is reached, 0 is not.
+        back = _spread(colour.select("node", F.when(F.col("node") == F.col("c"), 1).otherwise(0).alias("c")), inside)
+        strong = materialise(back.where("c = 1").select("node").join(colour, "node"), "cycle-strong")
+        several = strong.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c")
+        found = materialise(found.unionByName(strong.join(several, "c", "left_semi").select("node")), "cycle-found")
+        gone = strong.select("node")
+        left = left.join(gone, left.a == gone.node, "left_anti").join(gone, F.col("b") == gone.node, "left_anti")
 
 
 def hops(edges: DataFrame, roots: DataFrame, depth: int, a: str = "a", b: str = "b") -> DataFrame:

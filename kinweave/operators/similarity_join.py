@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,29 +25,36 @@ def one_edit_pairs(forms: DataFrame, form: str = "form") -> DataFrame:
     return pairs.withColumn("distance", F.levenshtein("a", "b")).where("distance = 1")
 
 
-def weighted_pairs(forms: DataFrame, threshold: float, form: str = "form", grams: int = 2) -> DataFrame:
-    """``a, b, similarity`` with ``a < b`` of forms whose weighted similarity reaches ``threshold``.
+FORMS_AT_ONCE = 1000
 
-    Forms meet if they share a letter pair, their ends included; the weighted distance is
-    then worked out once for each pair. Letter pairs are common, so the left side is
-    matched on its rarest ones only: one more than the edits under the threshold can
-    spoil (an edit touches two letter pairs, a group of three letters four). A pair
-    without any common letter pair is not looked at.
+
+def weighted_pairs(forms: DataFrame, threshold: float, form: str = "form") -> DataFrame:
+    """``a, b, similarity`` with ``a < b`` of all forms whose weighted similarity reaches ``threshold``.
+
+    Every two distinct forms are held against bounds that no pair above the threshold can
+    break, and only what passes is worked out. Growing a form by d letters costs at least
+    d, less .85 for each letter that one of its m, n or w can become; and each letter that
+    one form has and the other lacks costs at least .15. Forms are dealt to parts and every
+    part meets every part in a task of its own: the work grows with the square of the
+    distinct forms, which is what this join is for (a vocabulary, never the rows).
+    Null and empty forms match nothing.
     """
     from kinweave.functions.similarity import CHEAP, similarity_udf
 
     base = forms.where(F.col(form).isNotNull() & (F.col(form) != "")).select(F.col(form).alias("a")).distinct()
-    padded = F.concat(F.lit("^"), F.col("a"), F.lit("$"))
-    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length(padded) - grams + 1), lambda i: F.substring(padded, i, F.lit(grams))))
-    exploded = base.select("a", F.size(pieces).alias("n"), F.explode(pieces).alias("gram"))
-    common = exploded.groupBy("gram").agg(F.count("*").alias("df"))
-    place = F.row_number().over(Window.partitionBy("a").orderBy("df", "gram"))
-    # d edits of cost CHEAP fit under the threshold; each spoils at most four letter pairs.
-    edits = F.floor((1 - threshold) * F.char_length("a") / threshold / CHEAP)
-    prefix = exploded.join(common, "gram").withColumn("place", place).where(F.col("place") <= F.least(F.col("n"), edits * 4 + 1))
-    left = prefix.select("a", "gram")
-    right = exploded.select(F.col("a").alias("b"), "gram")
-    short, long_ = F.least(F.char_length("a"), F.char_length("b")), F.greatest(F.char_length("a"), F.char_length("b"))
-    pairs = left.join(right, "gram").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = pairs.where(short * 3 >= long_)
+    letters = F.array_sort(F.array_distinct(F.split("a", "")))
+    grows = 2 * F.regexp_count("a", F.lit("m")) + F.regexp_count("a", F.lit("[nw]"))
+    rows = base.select("a", F.char_length("a").alias("n"), grows.alias("g"), letters.alias("l"))
+    parts = max(1, -(-base.count() // FORMS_AT_ONCE))
+    rows = rows.withColumn("p", F.pmod(F.xxhash64("a"), F.lit(parts)).cast("int"))
+    side = lambda s: [F.col(c).alias(c + s) for c in ("a", "n", "g", "l")]
+    left = rows.select(*side("x"), "p", F.explode(F.sequence("p", F.lit(parts - 1))).alias("q"))
+    right = rows.select(*side("y"), F.col("p").alias("q"), F.explode(F.sequence(F.lit(0), "p")).alias("p"))
+    more = F.abs(F.col("nx") - F.col("ny"))
+    cheap = F.least(more, F.when(F.col("nx") < F.col("ny"), F.col("gx")).otherwise(F.col("gy")))
+    room = (1 - threshold) * F.greatest("nx", "ny") + 1e-9
+    alien = F.greatest(F.size(F.array_except("lx", "ly")), F.size(F.array_except("ly", "lx")))
+    fits = (more - cheap + CHEAP / 2 * cheap <= room) & (CHEAP / 2 * alien <= room)
+    pairs = left.join(right, ["p", "q"]).where((F.col("ax") < F.col("ay")) | ((F.col("p") < F.col("q")) & (F.col("ax") != F.col("ay")))).where(fits)
+    pairs = pairs.select(F.least("ax", "ay").alias("a"), F.greatest("ax", "ay").alias("b"))
     return pairs.withColumn("similarity", similarity_udf("a", "b")).where(F.col("similarity") >= threshold)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("records", "relations", "families", "kin", "review", "archive")
+MODULES = ("records", "relations", "families", "kin", "review", "archive", "village")
 
 
 def registered() -> dict[str, tuple]:

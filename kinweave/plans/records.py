@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinweave.functions.text import canonical, doubtful, first_year
+from kinweave.functions.text import MARKED, PLAIN, canonical, doubtful, first_year
 from kinweave.operators.similarity_join import one_edit_pairs
+from kinweave.session import materialise
 from kinweave.sources.tables import table
 
 
@@ -59,11 +60,11 @@ SELECT o_custkey, CAST(run AS BIGINT) AS run, CAST(min(day) AS VARCHAR) AS first
 
 
 def words(docs: DataFrame) -> DataFrame:
-    """``doc_id, word``: lower-case words of plain letters."""
-    return docs.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
+    """``doc_id, word``: lower-case words, letters of any script."""
+    return docs.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
 
 
-WORDS_SQL = "SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents"
+WORDS_SQL = r"SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents"
 
 
 def top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +105,8 @@ def canonical_form_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CANONICAL_FORM_GROUPS = f"""
 WITH f AS (SELECT word, count(*) AS n FROM ({WORDS_SQL}) WHERE length(word) >= 4 GROUP BY word),
-p AS (SELECT word, n, CASE WHEN length(word) > 4 AND left(word, 2) IN ('di', 'de', 'lo', 'la') THEN left(word, 1) || word[3:] ELSE word END AS s FROM f),
+p AS (SELECT word, n, CASE WHEN length(w) > 4 AND left(w, 2) IN ('di', 'de', 'lo', 'la') THEN left(w, 1) || w[3:] ELSE w END AS s
+  FROM (SELECT word, n, translate(word, '{MARKED}', '{PLAIN}') AS w FROM f)),
 c AS (SELECT word, n, array_to_string(list_filter(string_split(s, ''), lambda x, i: i = 1 OR x <> s[i - 1]), '') AS form FROM p)
 SELECT form, count(*) AS spellings, CAST(sum(n) AS BIGINT) AS n, arg_max(word, (n, word)) AS best FROM c GROUP BY form HAVING count(*) > 1
 """
@@ -176,14 +178,14 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_join_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of attested words one edit apart."""
-    return one_edit_pairs(_counts(spark, sf_dir).where("n >= 3"))
+    """All pairs of words of the documents one edit apart."""
+    return one_edit_pairs(_counts(spark, sf_dir))
 
 
 _EDITS_SQL = f"""
 f AS (SELECT word AS form, count(*) AS n FROM ({WORDS_SQL}) WHERE length(word) >= 4 GROUP BY word),
-k AS (SELECT DISTINCT form, key FROM (SELECT form, form AS key FROM f WHERE n >= 3 UNION ALL
-  SELECT form, left(form, i - 1) || form[i + 1:] FROM (SELECT form, unnest(range(1, length(form) + 1)) AS i FROM f WHERE n >= 3))),
+k AS (SELECT DISTINCT form, key FROM (SELECT form, form AS key FROM f UNION ALL
+  SELECT form, left(form, i - 1) || form[i + 1:] FROM (SELECT form, unnest(range(1, length(form) + 1)) AS i FROM f))),
 pairs AS (SELECT DISTINCT x.form AS a, y.form AS b FROM k x JOIN k y ON x.key = y.key AND x.form < y.form WHERE levenshtein(x.form, y.form) = 1)
 """
 
@@ -192,7 +194,7 @@ SIMILARITY_JOIN_BOUNDED = f"WITH {_EDITS_SQL} SELECT a, b, 1 AS distance FROM pa
 
 def variant_dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each rarely attested word beside the best attested word one edit away, if that is four times as common."""
-    counts = _counts(spark, sf_dir).where("n >= 3")
+    counts = materialise(_counts(spark, sf_dir), "word-counts")
     pairs = one_edit_pairs(counts)
     both = pairs.select("a", "b").union(pairs.select("b", "a"))
     seen = both.join(counts.select(F.col("form").alias("a"), F.col("n").alias("n")), "a").join(counts.select(F.col("form").alias("b"), F.col("n").alias("target_n")), "b")
@@ -234,12 +236,17 @@ SELECT md5(trim(regexp_replace(lower(text), '[ \\t\\n\\r]+', ' ', 'g'))) AS key,
 """
 
 
+#: Distinct runs of eight bytes that may be sent to every task.
+MAX_SENT_RUNS = 2_000_000
+
+
 def benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share a run of eight words with a benchmark item, and how many runs.
 
-    Runs are hashed on both sides and joined; the benchmark's side is reduced to its
-    distinct runs first, and each document's runs are counted before anything is joined
-    to item ids, so a run that many documents share is never multiplied out.
+    Runs are hashed on both sides. Where the benchmark's distinct runs are few enough to
+    send to every task (their number is counted), the documents' runs are held against them
+    before anything is shuffled, so that only runs of the benchmark leave their task;
+    otherwise both sides are shuffled by run.
     """
 
     def runs(rows: DataFrame, key: str) -> DataFrame:
@@ -248,8 +255,12 @@ def benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         eight = F.transform(F.sequence(F.lit(0), F.size("w") - 8), lambda i: F.xxhash64(F.array_join(F.slice("w", i + 1, F.lit(8)), " ")))
         return rows.where(F.size("w") >= 8).select(key, F.explode(F.array_distinct(eight)).alias("run"))
 
-    known = runs(table(spark, sf_dir, "benchmark"), "item_id")
-    found = runs(table(spark, sf_dir, "documents"), "doc_id").join(known, "run")
+    known = materialise(runs(table(spark, sf_dir, "benchmark"), "item_id"), "benchmark-runs")
+    seen = known.select("run").distinct()
+    held = runs(table(spark, sf_dir, "documents"), "doc_id")
+    if seen.count() <= MAX_SENT_RUNS:
+        held = held.join(F.broadcast(seen), "run", "left_semi")
+    found = held.join(known, "run")
     return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("runs"))
 
 
@@ -273,7 +284,7 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     def occurrences(term: str) -> Column:
         return F.size(F.filter("w", lambda x: x == term))
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("w"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)).alias("w"))
     counted = docs.select("doc_id", "source", F.size("w").alias("dl"), *[occurrences(t).alias(f"tf{i}") for i, t in enumerate(terms)])
     stat = counted.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     sources = counted.groupBy("source").agg(F.count("*").alias("held"))
@@ -284,8 +295,8 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.round(score, 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(50)
 
 
-BM25_SEARCH = """
-WITH w AS (SELECT doc_id, source, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents),
+BM25_SEARCH = r"""
+WITH w AS (SELECT doc_id, source, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents),
 c AS (SELECT doc_id, source, len(w) AS dl, len(list_filter(w, lambda x: x = 'the')) AS t0, len(list_filter(w, lambda x: x = 'that')) AS t1, len(list_filter(w, lambda x: x = 'was')) AS t2 FROM w),
 s AS (SELECT count(*) AS n, avg(dl) AS a, count(*) FILTER (t0 > 0) AS d0, count(*) FILTER (t1 > 0) AS d1, count(*) FILTER (t2 > 0) AS d2 FROM c),
 h AS (SELECT source, count(*) AS held FROM c GROUP BY source)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions.weights import age_gap, confidence, priority, rarity, state
+from kinweave.operators.blocking import PART_ROWS, meet  # noqa: F401
 from kinweave.sources.tables import table
 
 
@@ -317,22 +318,9 @@ def name_part_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 NAME_PART_EXPLODE = "SELECT word, count(*) AS parts, count(DISTINCT p_brand) AS brands FROM (SELECT p_brand, unnest(string_split(lower(p_name), ' ')) AS word FROM part) GROUP BY word"
 
 
-PART_ROWS = 500
-
-
 def _meet(keyed: DataFrame) -> DataFrame:
-    """``a, b`` with ``a < b`` of all distinct pairs of ``c_custkey`` that share a ``key``, in blocks of any size.
-
-    A block is dealt to parts of about PART_ROWS members and every part meets every part
-    in a task of its own, so a crowded block is spread and no pair is left out.
-    """
-    parts = keyed.groupBy("key").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"), F.count("*").alias("size")).where("size > 1").drop("size")
-    placed = keyed.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("c_custkey"), "parts").cast("int"))
-    left = placed.select("key", F.col("c_custkey").alias("x"), F.col("part").alias("p"), F.explode(F.expr("sequence(part, parts - 1)")).alias("q"))
-    right = placed.select("key", F.col("c_custkey").alias("y"), F.col("part").alias("q"), F.explode(F.expr("sequence(0, part)")).alias("p"))
-    # Two different parts meet once, so either side may hold the smaller key.
-    met = left.join(right, ["key", "p", "q"]).where("x < y or (p < q and x <> y)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    """``a, b`` with ``a < b`` of all distinct pairs of ``c_custkey`` that share a ``key``."""
+    return meet(keyed, ["key"], "c_custkey")
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,8 +332,7 @@ def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _BLOCKS = """
 k AS (SELECT c_custkey, unnest(['n|' || c_nationkey || '|' || c_mktsegment || '|' || CAST(floor(floor(c_acctbal) / 500) AS BIGINT), 'b|' || CAST(floor(floor(c_acctbal) / 10) AS BIGINT)]) AS key FROM customer),
-z AS (SELECT key FROM k GROUP BY key HAVING count(*) BETWEEN 2 AND 60),
-pairs AS (SELECT DISTINCT x.c_custkey AS a, y.c_custkey AS b FROM k x JOIN z USING (key) JOIN k y USING (key) WHERE x.c_custkey < y.c_custkey)
+pairs AS (SELECT DISTINCT x.c_custkey AS a, y.c_custkey AS b FROM k x JOIN k y USING (key) WHERE x.c_custkey < y.c_custkey)
 """
 
 
