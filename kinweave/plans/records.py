@@ -184,9 +184,9 @@ def similarity_join_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _EDITS_SQL = f"""
 f AS (SELECT word AS form, count(*) AS n FROM ({WORDS_SQL}) WHERE length(word) >= 4 GROUP BY word),
-k AS (SELECT DISTINCT form, key FROM (SELECT form, form AS key FROM f UNION ALL
-  SELECT form, left(form, i - 1) || form[i + 1:] FROM (SELECT form, unnest(range(1, length(form) + 1)) AS i FROM f))),
-pairs AS (SELECT DISTINCT x.form AS a, y.form AS b FROM k x JOIN k y ON x.key = y.key AND x.form < y.form WHERE levenshtein(x.form, y.form) = 1)
+d AS (SELECT form, i, left(form, i - 1) || form[i + 1:] AS key FROM (SELECT form, unnest(range(1, length(form) + 1)) AS i FROM f)),
+pairs AS (SELECT DISTINCT least(form, other) AS a, greatest(form, other) AS b FROM (
+  SELECT d.form, f.form AS other FROM d JOIN f ON f.form = d.key UNION ALL SELECT x.form, y.form FROM d x JOIN d y ON x.key = y.key AND x.i = y.i AND x.form < y.form))
 """
 
 SIMILARITY_JOIN_BOUNDED = f"WITH {_EDITS_SQL} SELECT a, b, 1 AS distance FROM pairs"

@@ -28,7 +28,7 @@ def test_alternatives_and_names(spark):
     assert [(r.main, r.others) for r in got] == [("Sepualdo", ["Epaldo", "Gesualdo"]), ("Bo", ["Ba"]), ("Bo", [])]
     assert [tuple(r) for r in values(spark, T.patronymic, ["Giuseppe di Carmine", "Di Nardo"])] == [("Giuseppe", "Carmine"), ("Di Nardo", None)]
     assert [tuple(r) for r in values(spark, T.late, ["fu Margherita", "Fulvio"])] == [("Margherita", True), ("Fulvio", False)]
-    assert values(spark, T.name_parts, ["Maria  di Teresa, la", None]) == [["maria", "teresa"], None]
+    assert values(spark, T.name_parts, ["Maria  di Teresa, la", "Giovanni detto Nanni", None]) == [["maria", "teresa", "la"], ["giovanni", "nanni"], None]
 
 
 def test_age(spark):

@@ -9,26 +9,32 @@ from pyspark.sql import functions as F
 from kinweave.functions.similarity import similarity
 from kinweave.plans import registered
 from kinweave.plans.families import _forms, family
+from kinweave.plans.village import mentions
 
 Q = {name: query for name, (query, _) in registered().items()}
 
 
 def test_own_ancestors(spark, sf):
-    edges = {(r.child, r.parent) for r in family(spark, sf).parents.collect()}
-    while True:
-        keep = {a for a, _ in edges} & {b for _, b in edges}
-        left = {(a, b) for a, b in edges if a in keep and b in keep}
-        if left == edges:
-            break
-        edges = left
-    assert {r.id for r in Q["own_ancestors"](spark, sf).collect()} == {a for a, _ in edges}
+    above = defaultdict(set)
+    for r in family(spark, sf).parents.collect():
+        above[r.child].add(r.parent)
+
+    def reached(start):
+        seen, front = set(), [start]
+        while front:
+            for x in above.get(front.pop(), ()):
+                if x not in seen:
+                    seen.add(x)
+                    front.append(x)
+        return seen
+
+    assert {r.id for r in Q["own_ancestors"](spark, sf).collect()} == {i for i in above if i in reached(i)}
 
 
 def test_weighted_edit(spark, sf):
-    parts, customers = spark.read.parquet(f"{sf}/part.parquet").collect(), spark.read.parquet(f"{sf}/customer.parquet").collect()
-    forms = sorted({w for t in [r.p_name for r in parts] + [r.p_type for r in parts] + [r.c_mktsegment for r in customers] for w in t.lower().split(" ")})
-    pairs = lambda w: {f"^{w}$"[i : i + 2] for i in range(len(w) + 1)}
-    want = {(a, b): round(similarity(a, b), 6) for a in forms for b in forms if a < b and pairs(a) & pairs(b) and similarity(a, b) >= 0.4}
+    surnames = {r.surname for r in mentions(spark, sf).select("surname").distinct().collect()} - {None}
+    forms = sorted({s.lower().replace(" ", "") for s in surnames})
+    want = {(a, b): round(similarity(a, b), 6) for a in forms for b in forms if a < b and similarity(a, b) >= 0.8}
     assert {(r.a, r.b): r.similarity for r in Q["weighted_edit"](spark, sf).collect()} == want
 
 
@@ -42,7 +48,7 @@ def one_edit(a, b):
 
 @pytest.fixture(scope="module")
 def forms(spark, sf):
-    return {r.form: r.n for r in _forms(spark, sf, 3).collect()}
+    return {r.form: r.n for r in _forms(spark, sf).collect()}
 
 
 def near(forms):
@@ -76,9 +82,28 @@ def test_variant_components(spark, sf, forms):
     assert {r.form: r.group for r in Q["variant_components"](spark, sf).collect()} == {f: root(f) for f in forms}
 
 
-def test_variant_corrections_end_at_words_that_stay(spark, sf, forms):
-    got = {r.source: r.target for r in Q["variant_corrections"](spark, sf).collect()}
-    assert all(s in forms and t in forms and t not in got and forms[t] >= forms[s] for s, t in got.items())
+def test_variant_corrections(spark, sf, forms):
+    """The best attested most similar neighbour, accepted by rule, chains followed to their end."""
+    from kinweave.functions.text import canonical
+
+    canon = {r.form: r.c for r in spark.createDataFrame([(f,) for f in forms], "form string").select("form", canonical(F.col("form")).alias("c")).collect()}
+    target = {}
+    for a, others in near(forms).items():
+        seen = [(1 - 1 / max(len(a), len(b)), b) for b in others if (forms[b], a) > (forms[a], b)]
+        if not seen:
+            continue
+        top = max(s for s, _ in seen)
+        best = sorted(b for s, b in seen if s == top)
+        share = forms[best[0]] / forms[a]
+        if len(best) == 1 and (canon[a] == canon[best[0]] or (top >= 0.85 and share >= 4) or (top >= 0.92 and share >= 3)):
+            target[a] = best[0]
+
+    def end(x):
+        while x in target:
+            x = target[x]
+        return x
+
+    assert {r.source: r.target for r in Q["variant_corrections"](spark, sf).collect()} == {a: end(a) for a in target}
 
 
 def test_resolved_customers_keep_their_bounds(spark, sf):
@@ -112,3 +137,23 @@ def test_stitched_acts(spark, sf):
             number = None if key.startswith("?") else key
             want[(conv, ps[0][0], number, len(ps), hashlib.md5("\n\n".join(p[2] for p in sorted(ps)).encode()).hexdigest())] += 1
     assert Counter((r.conv_id, r.page, r.number, r.parts, r.digest) for r in Q["stitched_acts"](spark, sf).collect()) == want
+
+
+def test_spans_of_bearing(spark, sf):
+    f = family(spark, sf)
+    births = {r.id: r.birth for r in f.people.collect()}
+    kids = defaultdict(list)
+    for m, c in {(r.parent, r.child) for r in f.parents.where("kind = 'mother'").collect()}:
+        if c in births:
+            kids[m].append((births[c], c))
+    want = {}
+    for m, held in kids.items():
+        out = []
+        while max(held)[0] - min(held)[0] > 35:
+            middle = sorted(b for b, _ in held)[len(held) // 2]
+            worst = min(held, key=lambda x: (-abs(x[0] - middle), -x[0], x[1]))
+            held.remove(worst)
+            out.append(worst[0])
+        if out:
+            want[m] = (len(out), sum(out))
+    assert {r.parent: (r.n, r.years) for r in Q["spans_of_bearing"](spark, sf).collect()} == want
