@@ -45,7 +45,7 @@ def alternatives(text: Column) -> Column:
     supplied = text.rlike(r"\p{L}\[\p{L}+\]|\[\p{L}+\]\p{L}")
     inside = F.regexp_extract(text, r"\[(?:o\s+)?([^\]?]+)\]", 1)
     main = F.trim(F.regexp_replace(text, r"\s*\[[^\]]*\]", ""))
-    listed = lambda c: F.filter(F.transform(F.split(c, r"\s*/\s*"), F.trim), lambda x: x != "")
+    listed = lambda c: F.filter(F.transform(F.split(c, r"\s*/\s*"), lambda x: F.trim(x)), lambda x: x != "")
     slashed = listed(text)
     whole, bare = F.regexp_replace(text, r"[\[\]]", ""), F.regexp_replace(text, r"\[[^\]]*\]", "")
     two = ~text.contains("[") & (F.size(slashed) > 1)
@@ -197,10 +197,10 @@ def json_block(text: Column) -> Column:
     """The JSON object or list inside a free text: what stands between fences, else from the first bracket to the last."""
     fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)```", 1)
     bare = F.regexp_extract(text, r"(?s)([\[{].*[\]}])", 1)
-    return F.nullif(F.trim(F.when(fenced != "", fenced).otherwise(bare)), F.lit(""))
+    return F.nullif(F.regexp_replace(F.when(fenced != "", fenced).otherwise(bare), r"^\s+|\s+$", ""), F.lit(""))
 
 
 def joined(*columns: Column) -> Column:
     """The distinct values that are neither null nor blank, in order, with bars between."""
-    kept = F.filter(F.transform(F.array(*columns), F.trim), lambda x: x.isNotNull() & (x != ""))
+    kept = F.filter(F.transform(F.array(*columns), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
     return F.nullif(F.array_join(F.array_distinct(kept), " | "), F.lit(""))

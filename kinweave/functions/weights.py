@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,8 +88,6 @@ def near_number(text: Column) -> Column:
 
     An Arrow function over distinct words; ask it only of ages that ``age`` cannot read.
     """
-    import pandas as pd
-
     numbers = number_words()
 
     def run(rows: pd.Series) -> pd.Series:

@@ -55,3 +55,98 @@ def matches(query: str, words: Column) -> Column:
     one = lambda term: F.exists(words, lambda w: w.startswith(term))
     ways = [reduce(lambda a, b: a & b, [one(t) for t in way]) for way in search_terms(query)]
     return reduce(lambda a, b: a | b, ways) if ways else F.lit(False)
+
+
+def uncertain_acts(acts: DataFrame) -> DataFrame:
+    """Acts read with little trust or with doubts noted, the least trusted first."""
+    doubt = (F.col("reliability") == "bassa") | (F.coalesce("doubts", F.lit("")) != "")
+    return acts.where(F.coalesce(doubt, F.lit(False))).orderBy(F.when(F.col("reliability") == "bassa", 0).otherwise(1), "act")
+
+
+def queue(rows: DataFrame, *, kind: str | None = None, most: int | None = None, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """The part of a queue that was asked for, in its order: by kind, by years, at most so many."""
+    out = rows
+    if kind is not None:
+        out = out.where(F.col("kind") == kind)
+    if first_year is not None:
+        out = out.where(F.col("year") >= first_year)
+    if last_year is not None:
+        out = out.where(F.col("year") <= last_year)
+    out = out.orderBy(F.desc("priority"), "id")
+    return out if most is None else out.limit(most)
+
+
+def pages_to_read_again(rows: DataFrame, heads: int = 2) -> DataFrame:
+    """``image, questions, priority``: pages by their highest question; a person brings at most ``heads`` pages."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("person").orderBy(F.desc("priority"), "image")
+    kept = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= heads)
+    return kept.groupBy("image").agg(F.count("*").alias("questions"), F.max("priority").alias("priority"))
+
+
+def rare_near_frequent(forms: DataFrame, rare: int = 2, frequent: int = 10, least: float = 0.8) -> DataFrame:
+    """``form, n, target, target_n, similarity``: forms seen at most ``rare`` times beside the most alike of those seen ``frequent`` times."""
+    from kinweave.operators.corrections import dominated
+    from kinweave.operators.similarity_join import weighted_pairs
+
+    some = forms.where((F.col("n") <= rare) | (F.col("n") >= frequent))
+    pairs = weighted_pairs(some, least)
+    return dominated(some, pairs, ((least, frequent / max(rare, 1)),)).where((F.col("n") <= rare) & (F.col("target_n") >= frequent))
+
+
+def missing_years(rows: DataFrame, group: str, year: str) -> DataFrame:
+    """``group, missing``: the years between a group's first and last that have no row, "1810-1812, 1820"."""
+    from pyspark.sql import Window
+
+    held = rows.select(group, year).distinct()
+    ends = held.groupBy(group).agg(F.min(year).alias("a"), F.max(year).alias("b"))
+    gaps = ends.select(group, F.explode(F.sequence("a", "b")).alias(year)).join(held, [group, year], "left_anti")
+    runs = gaps.withColumn("run", F.col(year) - F.row_number().over(Window.partitionBy(group).orderBy(year)))
+    spans = runs.groupBy(group, "run").agg(F.min(year).alias("a"), F.max(year).alias("b"))
+    text = F.when(F.col("a") == F.col("b"), F.col("a").cast("string")).otherwise(F.concat_ws("-", "a", "b"))
+    return spans.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("a", text.alias("t")))).alias("s")).select(group, F.array_join(F.transform("s", lambda x: x["t"]), ", ").alias("missing"))
+
+
+def word_index(docs: DataFrame, key: str, *columns: str) -> DataFrame:
+    """``word, key, n``: the posting table of some text columns, lower case, letters and digits."""
+    text = F.lower(F.concat_ws(" ", *columns))
+    return docs.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("word")).groupBy("word", key).agg(F.count("*").alias("n"))
+
+
+def search(index: DataFrame, boosts: DataFrame, question: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """``key, score`` of what answers a question, best first, and one row ``outside`` of the matches without a link.
+
+    Every term begins a word, in one of the ways of ``search_terms``. BM25 (k1 1.2, b .75) plus
+    1.5 and 3 times the logarithm (to 10) of one more than ``mentions`` and ``links`` of
+    ``boosts``; only rows with links are ranked.
+    """
+    sizes = index.groupBy(key).agg(F.sum("n").alias("dl"))
+    total = F.broadcast(sizes.agg(F.count("*").alias("docs"), F.avg("dl").alias("avgdl")))  # one row
+    scored = None
+    for way in search_terms(question):
+        hits = None
+        for i, term in enumerate(way):
+            one = index.where(F.col("word").startswith(term)).groupBy(key).agg(F.sum("n").alias("tf"))
+            df = F.broadcast(one.agg(F.count("*").alias("df")))  # one row
+            part = one.crossJoin(df).join(sizes, key).crossJoin(total)
+            weight = F.ln(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * 2.2 / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("dl") / F.col("avgdl")))
+            part = part.select(key, weight.alias(f"w{i}"))
+            hits = part if hits is None else hits.join(part, key)
+        rows = hits.select(key, reduce(lambda a, b: a + b, [F.col(f"w{i}") for i in range(len(way))]).alias("bm25"))
+        scored = rows if scored is None else scored.unionByName(rows)
+    if scored is None:
+        scored = sizes.select(key, F.lit(0.0).alias("bm25")).where("false")
+    best = scored.groupBy(key).agg(F.max("bm25").alias("bm25")).join(boosts.select(key, "mentions", "links"), key)
+    score = F.round(F.col("bm25") + 1.5 * F.log10(1 + F.col("mentions")) + 3 * F.log10(1 + F.col("links")), 6)
+    return best.where("links > 0").select(key, score.alias("score")).orderBy(F.desc("score"), key), best.where("links = 0").agg(F.count("*").alias("outside"))
+
+
+def decision_context(people: DataFrame, kin: DataFrame, anomalies: DataFrame, similar: DataFrame) -> DataFrame:
+    """One nested row a person: kin, open anomalies and similar people, each sorted, for whoever decides.
+
+    ``kin``: ``id, relation, other``; ``anomalies``: ``kind, id, detail``; ``similar``: ``id, other, similarity``.
+    """
+    listed = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
+    relatives, doubts, alike = kin.groupBy("id").agg(listed("relation", "other").alias("kin")), anomalies.groupBy("id").agg(listed("kind", "detail").alias("doubts")), similar.groupBy("id").agg(listed("similarity", "other").alias("similar"))
+    return people.join(relatives, "id", "left").join(doubts, "id", "left").join(alike, "id", "left")

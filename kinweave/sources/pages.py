@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PERSON = "struct<ruolo:string,nome:string,cognome:string,eta:string,professione:string,residenza:string,stato_vitale:string,note:string>"
@@ -68,3 +68,23 @@ def people(acts_: DataFrame, key: str = "file") -> DataFrame:
 def index_entries(pages: DataFrame, key: str = "file") -> DataFrame:
     """One row an entry of an index page."""
     return pages.select(key, F.col("_origine.registro").alias("registro"), F.posexplode("voci_indice").alias("row", "v")).select(key, "registro", "row", "v.*")
+
+
+#: Words of a page that is a table of an index and was read as an act.
+INDEX_WORDS = r"(?i)\b(indice alfabetico|tavola decennale|indice annuale|numero d'ordine degli atti)\b"
+
+
+def real_acts(acts_: DataFrame) -> DataFrame:
+    """Acts without those that are tables of an index by their text."""
+    return acts_.where(~F.coalesce(F.col("testo_integrale").rlike(INDEX_WORDS), F.lit(False)))
+
+
+def registers_of(pages: DataFrame) -> DataFrame:
+    """``folder, registro``: the register of each folder, as its first page names it; a folder without one has null and stays."""
+    folder = F.regexp_extract("file", r"^(.*)/[^/]*$", 1)
+    return pages.groupBy(folder.alias("folder")).agg(F.min_by("_origine.registro", "file").alias("registro"))
+
+
+def place_of_person() -> Column:
+    """A person's street, else the act's."""
+    return F.coalesce("via", "via_atto")

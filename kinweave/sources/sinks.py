@@ -49,3 +49,20 @@ def append_new(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFra
     """``rows`` whose keys the existing table lacks; of equal keys among them one stays. Nulls are equal."""
     same: list[Column] = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
     return rows.dropDuplicates(keys).alias("n").join(existing.alias("o"), same, "left_anti")
+
+
+def rewrite_tables(tables: dict[str, DataFrame], path: str) -> None:
+    """The tables of a rebuild, each written anew under ``path``."""
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def markdown(title: str, sections: dict[str, DataFrame], most: int = 50) -> str:
+    """A report of small tables: the first ``most`` rows of each, and how many there are."""
+    lines = [f"# {title}", ""]
+    for name, rows in sections.items():
+        held = rows.limit(most + 1).collect()
+        lines += [f"## {name}", "", "| " + " | ".join(rows.columns) + " |", "|" + "---|" * len(rows.columns)]
+        lines += ["| " + " | ".join("" if v is None else str(v).replace("|", r"\|") for v in r) + " |" for r in held[:most]]
+        lines += ["", f"The first {most} of {rows.count()}.", ""] if len(held) > most else [""]
+    return "\n".join(lines)
