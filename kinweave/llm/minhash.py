@@ -32,7 +32,8 @@ PERMUTATIONS = 192
 BITS = 4
 BLOCK = 128
 MISS = 1e-6
-BLOOM_BITS = 1 << 25
+#: The bit set that finds the texts of candidates has some ten bits an id, at most so many; beyond it the ids are joined.
+MOST_BLOOM_BITS = 1 << 28
 #: Tables of at most so many rows of five numbers are sent to every task; larger ones are shuffled.
 MAX_BROADCAST_ROWS = 200_000
 _SHINGLE = np.uint64(0x9E3779B97F4A7C15)
@@ -152,26 +153,32 @@ def _features(df: DataFrame, width: int, threshold: float, seed: int) -> DataFra
     return df.mapInArrow(run, "id long, n long, h long, g long, sig binary, keys array<long>")
 
 
-def _bloom(nodes: DataFrame, seed: int) -> np.ndarray:
-    """A bit set of fixed size that holds every id of ``nodes``; a few others pass it too."""
-    place = F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(BLOOM_BITS))
+def _bloom(nodes: DataFrame, seed: int, bits: int) -> np.ndarray:
+    """A set of ``bits`` bits that holds every id of ``nodes``; a few others pass it too."""
+    place = F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(bits))
     words = nodes.select(F.shiftright(place, 5).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(32)).cast("int")).alias("bit"))
-    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most BLOOM_BITS / 32 rows
-    bits = np.zeros(BLOOM_BITS // 32, dtype=np.uint32)
-    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
-    return bits
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most bits / 32 rows
+    out = np.zeros(bits // 32, dtype=np.uint32)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
+    return out
 
 
 def _sets(df: DataFrame, nodes: DataFrame, width: int, seed: int) -> DataFrame:
     """``node, items``: the full sets of the texts of ``nodes`` (``node, h, g``), made again from the texts."""
-    bits = df.sparkSession.sparkContext.broadcast(_bloom(nodes, seed))
-    place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(BLOOM_BITS))
+    size = 1 << max(20, int(10 * nodes.count()).bit_length())
+    texts = df.where("id is not null")
+    held = None
+    if size <= MOST_BLOOM_BITS:
+        held = df.sparkSession.sparkContext.broadcast(_bloom(nodes, seed, size))
+    else:
+        texts = texts.join(nodes.select(F.col("node").alias("id")), "id", "left_semi")
+    place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
+            if held is not None:
+                at = batch.column(2).to_numpy()
+                batch = batch.filter(pa.array((held.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
             for part, texts in _texts(batch):
                 sets = shingle_sets(texts, width)
                 hashes = [_set_hash(s) for s in sets]
@@ -180,7 +187,7 @@ def _sets(df: DataFrame, nodes: DataFrame, width: int, seed: int) -> DataFrame:
                     names=["node", "h", "g", "items"],
                 )
 
-    made = df.where("id is not null").select("id", "text", place.alias("place")).mapInArrow(run, "node long, h long, g long, items array<long>")
+    made = texts.select("id", "text", place.alias("place")).mapInArrow(run, "node long, h long, g long, items array<long>")
     return made.join(nodes.select("node", "h", "g"), ["node", "h", "g"]).dropDuplicates(["node"]).select("node", "items")
 
 

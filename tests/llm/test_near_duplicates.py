@@ -91,3 +91,10 @@ def test_estimate_is_near_the_truth():
         sig = [np.frombuffer(signer.pack(signer.minima(s)), dtype=np.uint64)[None] for s in (a, b)]
         assert abs(minhash.estimate(*sig)[0, 0] - true) < 0.15
     assert (1 - 0.85 ** minhash.rows_per_band(0.85)) ** (minhash.PERMUTATIONS // minhash.rows_per_band(0.85)) <= minhash.MISS
+
+
+def test_ids_beyond_the_bit_set_are_joined(spark, sf, monkeypatch):
+    monkeypatch.setattr(minhash, "MOST_BLOOM_BITS", 1)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, width=3, percent=85).collect()}
+    assert got == brute([(r.doc_id, r.text) for r in docs.collect()], 3, 85)
