@@ -44,10 +44,16 @@ def _peel(left: DataFrame) -> DataFrame:
 
 
 def _spread(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """``node, c``: the largest label among a node's own and those that edges ``a`` to ``b`` carry to it, until nothing changes."""
+    """``node, c``: the largest label among a node's own and those that edges ``a`` to ``b`` carry to it, until nothing changes.
+
+    Labels go three edges on before they are written down.
+    """
     while True:
-        came = edges.join(labels, edges.a == labels.node).groupBy("b").agg(F.max("c").alias("m"))
-        fresh = materialise(labels.join(came, labels.node == came.b, "left").select("node", F.greatest("c", F.coalesce("m", "c")).alias("c"), F.col("c").alias("was")), "spread")
+        now = labels.select("node", "c", F.col("c").alias("was"))
+        for _ in range(3):
+            came = edges.join(now.select(F.col("node").alias("a"), "c"), "a").groupBy(F.col("b").alias("node")).agg(F.max("c").alias("m"))
+            now = now.join(came, "node", "left").select("node", F.greatest("c", F.coalesce("m", "c")).alias("c"), "was")
+        fresh = materialise(now, "spread")
         changed = fresh.where("c <> was").limit(1).count()
         labels = fresh.select("node", "c")
         if not changed:

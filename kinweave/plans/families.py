@@ -258,6 +258,9 @@ def own_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own_ancestor(f)
 
 
+OWN_ANCESTORS = _SCORED + "SELECT DISTINCT child AS id FROM reach WHERE child = parent"
+
+
 def k_hop_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descendants of everyone within three generations of cleaned parent edges, by generation."""
     kept, _ = clean_parents(family(spark, sf_dir))
@@ -337,7 +340,7 @@ QUERIES = {
     "documented_unions": (documented_unions, DOCUMENTED_UNIONS),
     "individuals_of": (individuals_of, INDIVIDUALS),
     "cleaned_parents": (cleaned_parents, CLEANED_PARENTS),
-    "own_ancestors": (own_ancestors, None),
+    "own_ancestors": (own_ancestors, OWN_ANCESTORS),
     "k_hop_tree": (k_hop_tree, K_HOP_TREE),
     "weighted_edit": (weighted_edit, None),
     "variant_components": (variant_components, None),
