@@ -11,10 +11,11 @@ A band may hold thousands of near copies, so pairs within a band are not spelled
 
 1. Every member is paired with the smallest member of its band, and these pairs are
    confirmed. What links up is a component already.
-2. The members that bands connect at all form a cluster. Only clusters that still hold
-   several components go on; they are cut into blocks by set size and component, and
-   each pair of blocks is searched for links between different components. Pairs inside
-   a component need no test. This exact step leaves no link out.
+2. Only bands that still hold several components go on. Their members are cut into
+   blocks by set size and component; two blocks meet where a band has members of both,
+   with these members alone, and are searched for links between different components.
+   Pairs inside a component, and pairs that share no band, need no test. This exact
+   step leaves no link out that a band shows.
 """
 
 from __future__ import annotations
@@ -296,7 +297,7 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     linked = checked.where(F.lit(100) * common >= F.lit(percent) * (F.size("items") + F.size("centre_items") - common))
     links = materialise(linked.select(F.col("node").alias("a"), F.col("centre").alias("b")), "mh-links")
 
-    # Clusters that still hold several components: blocks against blocks.
+    # Bands that still hold several components: blocks against blocks. Clusters only say which texts to put in one block.
     component = connected_components(_ties(links, "a", "b"), "node", "low")
     cluster = connected_components(_ties(stars, "node", "centre"), "node", "low")
     placed = (
@@ -307,7 +308,11 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     )
     several = placed.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("cluster")
     band = F.floor(F.log("n") / -math.log(threshold)).cast("int")
-    placed = materialise(placed.join(several, "cluster").withColumn("band", band), "mh-open")
+    placed = materialise(placed.join(several, "cluster").withColumn("band", band), "mh-several")
+    members = banded.join(placed.select("node", "component"), "node")
+    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    members = materialise(members.join(mixed, "key").select("key", "node"), "mh-members")
+    placed = materialise(placed.join(members.select("node").distinct(), "node"), "mh-open")
     whole = placed.groupBy("cluster", "band", "component").agg(F.count("*").alias("size"))
     # A component larger than a block has blocks of its own; the others of a cluster share theirs.
     whole = materialise(whole, "mh-sizes")
@@ -318,22 +323,25 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
         placed.join(hint(whole.drop("size")), ["cluster", "band", "component"])
         .join(hint(pools), ["cluster", "band", "pool"])
         .withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / BLOCK)))
-        .select("node", "cluster", "band", "component", "pool", F.xxhash64("cluster", "band", "pool", "salt").alias("block"))
+        .select("node", "band", "component", "pool", F.xxhash64("cluster", "band", "pool", "salt").alias("block"))
     )
     placed = materialise(placed, "mh-placed")
-    blocks = materialise(placed.select("cluster", "band", "pool", "block").distinct(), "mh-blocks")
-    one, two = blocks.alias("x"), blocks.alias("y")
+    members = materialise(members.join(placed.select("node", "band", "pool", "block"), "node"), "mh-blocks")
+    held = members.groupBy("key", "band", "pool", "block").agg(F.count("*").alias("size"))
+    one, two = held.alias("x"), held.alias("y")
     meets = (
-        (F.col("x.cluster") == F.col("y.cluster"))
+        (F.col("x.key") == F.col("y.key"))
         & (F.col("x.block") <= F.col("y.block"))
         & (F.abs(F.col("x.band") - F.col("y.band")) <= 1)
         & ((F.col("x.pool") == "") | (F.col("x.pool") != F.col("y.pool")))
+        & ((F.col("x.block") != F.col("y.block")) | (F.col("x.size") > 1))
     )
-    duels = one.join(two, meets).select(F.col("x.block").alias("b0"), F.col("y.block").alias("b1"))
-    seats = duels.select("b0", "b1", F.explode(F.expr("if(b0 = b1, array(struct(b0 as block, 0 as side)), array(struct(b0 as block, 0 as side), struct(b1 as block, 1 as side)))")).alias("s"))
-    seats = seats.select("b0", "b1", F.col("s.block").alias("block"), F.col("s.side").alias("side"))
-    full = placed.select("node", "component", "block").join(nodes.select("node", "n", "sig"), "node").join(sets, "node")
-    more = seats.join(full, "block").groupBy("b0", "b1").applyInArrow(_block_links(percent, floor_), "a long, b long")
+    duels = one.join(two, meets).select(F.col("x.key").alias("key"), F.col("x.block").alias("b0"), F.col("y.block").alias("b1"))
+    seats = duels.select("key", "b0", "b1", F.explode(F.expr("if(b0 = b1, array(struct(b0 as block, 0 as side)), array(struct(b0 as block, 0 as side), struct(b1 as block, 1 as side)))")).alias("s"))
+    seats = seats.select("key", "b0", "b1", F.col("s.block").alias("block"), F.col("s.side").alias("side"))
+    seats = seats.join(members.select("key", "block", "node"), ["key", "block"]).select("b0", "b1", "side", "node").distinct()
+    full = placed.select("node", "component").join(nodes.select("node", "n", "sig"), "node").join(sets, "node")
+    more = seats.join(full, "node").groupBy("b0", "b1").applyInArrow(_block_links(percent, floor_), "a long, b long")
     more = materialise(more, "mh-more")
     if more.limit(1).count():
         component = connected_components(_ties(links.union(more), "a", "b"), "node", "low")
