@@ -12,10 +12,10 @@ A band may hold thousands of near copies, so pairs within a band are not spelled
 1. Every member is paired with the smallest member of its band, and these pairs are
    confirmed. What links up is a component already.
 2. Only bands that still hold several components go on. Their members are cut into
-   blocks by set size and component; two blocks meet where a band has members of both,
-   with these members alone, and are searched for links between different components.
-   Pairs inside a component, and pairs that share no band, need no test. This exact
-   step leaves no link out that a band shows.
+   blocks by set size and component; two blocks meet once if any band has members of
+   both, and are searched for links between different components. Pairs inside a
+   component, and blocks that share no band, need no test. This exact step leaves no
+   link out that a band shows.
 """
 
 from __future__ import annotations
@@ -336,12 +336,11 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
         & ((F.col("x.pool") == "") | (F.col("x.pool") != F.col("y.pool")))
         & ((F.col("x.block") != F.col("y.block")) | (F.col("x.size") > 1))
     )
-    duels = one.join(two, meets).select(F.col("x.key").alias("key"), F.col("x.block").alias("b0"), F.col("y.block").alias("b1"))
-    seats = duels.select("key", "b0", "b1", F.explode(F.expr("if(b0 = b1, array(struct(b0 as block, 0 as side)), array(struct(b0 as block, 0 as side), struct(b1 as block, 1 as side)))")).alias("s"))
-    seats = seats.select("key", "b0", "b1", F.col("s.block").alias("block"), F.col("s.side").alias("side"))
-    seats = seats.join(members.select("key", "block", "node"), ["key", "block"]).select("b0", "b1", "side", "node").distinct()
-    full = placed.select("node", "component").join(nodes.select("node", "n", "sig"), "node").join(sets, "node")
-    more = seats.join(full, "node").groupBy("b0", "b1").applyInArrow(_block_links(percent, floor_), "a long, b long")
+    duels = one.join(two, meets).select(F.col("x.block").alias("b0"), F.col("y.block").alias("b1")).distinct()
+    seats = duels.select("b0", "b1", F.explode(F.expr("if(b0 = b1, array(struct(b0 as block, 0 as side)), array(struct(b0 as block, 0 as side), struct(b1 as block, 1 as side)))")).alias("s"))
+    seats = seats.select("b0", "b1", F.col("s.block").alias("block"), F.col("s.side").alias("side"))
+    full = placed.select("node", "component", "block").join(nodes.select("node", "n", "sig"), "node").join(sets, "node")
+    more = seats.join(full, "block").groupBy("b0", "b1").applyInArrow(_block_links(percent, floor_), "a long, b long")
     more = materialise(more, "mh-more")
     if more.limit(1).count():
         component = connected_components(_ties(links.union(more), "a", "b"), "node", "low")
