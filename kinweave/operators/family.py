@@ -15,11 +15,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.functions.similarity import name_similarity_udf
+from kinweave.functions.similarity import name_similarity_udf, unlike_udf
 from kinweave.functions.text import name_parts, normal
 
 
@@ -256,25 +255,12 @@ def living_same_name_siblings(f: Family) -> DataFrame:
     return rows.where(F.col("twin").isNotNull() & alive & ~disjoint).select(F.col("child").alias("id"))
 
 
-def _leaders(names: pd.Series) -> pd.Series:
-    from kinweave.functions.similarity import similarity
-
-    def count(forms: list[str]) -> int:
-        leaders: list[str] = []
-        for form in sorted(forms):
-            if all(similarity(form, other) < 0.72 for other in leaders):
-                leaders.append(form)
-        return len(leaders)
-
-    return pd.Series([0 if forms is None else count(list(forms)) for forms in names], dtype="int32")
-
-
 def irreconcilable_surnames(f: Family) -> DataFrame:
     """People with more than four surnames no two of which are alike (.72), unless they have just one spouse."""
     held = f.mentions.where("surname is not null").groupBy(F.col("person").alias("id")).agg(F.collect_set(F.regexp_replace(normal(F.col("surname")), " ", "")).alias("forms")).where("size(forms) > 4")
     wed = f.spouses().groupBy("id").agg(F.count("*").alias("n"))
     found = held.join(wed, "id", "left").where("coalesce(n, 0) <> 1")
-    return found.where(F.pandas_udf(_leaders, "int")("forms") > 4).select("id")
+    return found.where(unlike_udf("forms", 0.72) > 4).select("id")
 
 
 def age_against_birth(f: Family) -> DataFrame:

@@ -1,5 +1,6 @@
 """Scalar functions against values worked out by hand."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +51,25 @@ def test_weights(spark):
 @pytest.mark.parametrize("a,b,want", [("lella", "colella", 0.714), ("domenico", "domenica", 0.963), ("giyseppe", "giuseppe", 0.875), ("tommolilli", "femminilli", 0.67), ("iemminilli", "femminilli", 0.90), ("domenicoantonio", "domenicantonio", 0.933), ("angela", "angelamaria", 0.545), ("cicchillitti", "cicchillitto", 0.917), ("", "", 1.0)])
 def test_similarity(a, b, want):
     assert abs(similarity(a, b) - want) < 0.005 and similarity(a, b) == similarity(b, a) and similarity(a, None) is None
+
+
+def test_names_of_a_batch_are_those_of_each_pair():
+    from kinweave.functions.similarity import _over_lists, _unlike, name_similarity, names_compatible
+
+    lists = [None, [], ["maria"], ["maria", "rosa"], ["rosa", "maria"], ["mariarosa"], ["niaria"], ["gio", "batta"], ["giobatta"], ["maria", "rosa"]]
+    pairs = [(x, y) for x in lists for y in lists]
+    a, b = pd.Series([x for x, _ in pairs]), pd.Series([y for _, y in pairs])
+    for function in (name_similarity, names_compatible):
+        got = _over_lists(function)(a, b)
+        for (x, y), z in zip(pairs, got):
+            assert pd.isna(z) if x is None or y is None else z == function(x, y)
+
+    def plain(forms, least):
+        leaders = []
+        for form in sorted(forms):
+            if all(similarity(form, other) < least for other in leaders):
+                leaders.append(form)
+        return len(leaders)
+
+    forms = [["rossi", "rosci", "bianchi", "verdi"], [], None, ["a", "a b", "cd"]]
+    assert list(_unlike(pd.Series(forms), 0.72)) == [0 if x is None else plain(x, 0.72) for x in forms]
