@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import ann, bpe, minhash, mixing, quality, shards, spotsigs, token_counts, toxicity, warc
+from kinweave.llm import ann, bpe, minhash, mixing, quality, sentence_pieces, shards, spotsigs, token_counts, toxicity, warc
 from kinweave.session import working_dir
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -155,6 +155,18 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, token_counts.load_pieces(tokenizer_path(PIECE_FILE)))
 
 
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests; each batch checked against the library."""
+    docs = table(spark, sf_dir, "documents")
+    coded = sentence_pieces.encode(docs, sentence_pieces.load_model(tokenizer_path(PIECE_FILE)), columns=["doc_id"], with_decoded=True, check=True)
+    return coded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": op1_bradley_terry,
     "op2_byte_bpe": op2_byte_bpe,
@@ -166,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_bbit_minhash": op9_bbit_minhash,
     "op10_piece_counts": op10_piece_counts,
+    "op12_sentence_pieces": op12_sentence_pieces,
 }
 
 ORACLES: dict[str, str] = {"op8_warc_revisits": OP8_SQL}
