@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import ann, bpe, minhash, mixing, quality, sentence_pieces, shards, spotsigs, token_counts, toxicity, warc
-from kinweave.session import working_dir
+from kinweave.llm import ann, bpe, minhash, mixing, quality, sentence_pieces, shards, spotsigs, token_counts, toxicity, vector_codes, warc
+from kinweave.session import materialise, working_dir
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
@@ -155,6 +155,26 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, token_counts.load_pieces(tokenizer_path(PIECE_FILE)))
 
 
+#: Totals by label of at most so many labels are sent to every task; more are joined by a shuffle.
+MOST_LABELS_SENT = 200_000
+
+
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every usable vector, with its error and that of all vectors of its label.
+
+    Labels compare as they are, nulls together; the total of a label is one row, so a
+    label of any number of vectors is joined without gathering them.
+    """
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.learn(vectors)
+    coded = materialise(vector_codes.encode(vectors, books, columns=["vec_id", "label"]), "vc-coded")
+    totals = materialise(coded.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of_label"), "vc-totals")
+    if totals.limit(MOST_LABELS_SENT + 1).count() <= MOST_LABELS_SENT:
+        totals = F.broadcast(totals)
+    joined = coded.join(totals, F.col("label").eqNullSafe(F.col("of_label")))
+    return joined.select("vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
+
+
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests; each batch checked against the library."""
     docs = table(spark, sf_dir, "documents")
@@ -178,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_bbit_minhash": op9_bbit_minhash,
     "op10_piece_counts": op10_piece_counts,
+    "op11_vector_codes": op11_vector_codes,
     "op12_sentence_pieces": op12_sentence_pieces,
 }
 
