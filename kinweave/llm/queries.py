@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import ann, bpe, minhash, mixing, quality, sentence_pieces, shards, spotsigs, token_counts, toxicity, vector_codes, warc
+from kinweave.llm import ann, bpe, minhash, mixing, phrases, quality, sentence_pieces, shards, spotsigs, token_counts, toxicity, vector_codes, warc
 from kinweave.session import materialise, working_dir
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -187,6 +187,46 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 collocations, from all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE pieces AS MATERIALIZED (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+places AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS k FROM starts),
+f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+kept AS (
+  SELECT * FROM cand c WHERE NOT EXISTS (
+    SELECT 1 FROM cand d WHERE d.lang = c.lang AND d.k > c.k AND 100 * d.f >= 100 * c.f AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (SELECT lang, phrase, w, k, f AS a, unnest(range(1, k)) AS cut FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut+1:], ' ') JOIN total t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best QUALIFY rank <= 2000),
+edges AS (SELECT lang, phrase, f, array_to_string(w[1:4], ' ') AS u, array_to_string(w[2:5], ' ') AS v, w[5] AS last FROM cand WHERE k = 5),
+steps AS (
+  SELECT a.lang, a.phrase, b.phrase AS next, b.last FROM edges a JOIN f n ON n.lang = a.lang AND n.phrase = a.v AND n.f = a.f
+  JOIN edges b ON b.lang = a.lang AND b.u = a.v AND b.f = a.f),
+walk AS (
+  SELECT e.lang, e.phrase AS head, e.phrase AS at, e.phrase AS passage FROM edges e
+  WHERE NOT EXISTS (SELECT 1 FROM steps s WHERE s.lang = e.lang AND s.next = e.phrase)
+  UNION ALL SELECT w.lang, w.head, s.next, w.passage || ' ' || s.last FROM walk w JOIN steps s ON s.lang = w.lang AND s.phrase = w.at),
+whole AS (SELECT lang, head, max_by(passage, len(passage)) AS passage FROM walk GROUP BY ALL),
+lies AS (SELECT w.lang, w.at, p.passage FROM walk w JOIN whole p ON p.lang = w.lang AND p.head = w.head)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, r.n::BIGINT AS n, r.score::BIGINT AS score, coalesce(p.passage, r.phrase) AS passage
+FROM ranked r LEFT JOIN lies p ON p.lang = r.lang AND p.at = r.phrase
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": op1_bradley_terry,
     "op2_byte_bpe": op2_byte_bpe,
@@ -200,6 +240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_piece_counts": op10_piece_counts,
     "op11_vector_codes": op11_vector_codes,
     "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLES: dict[str, str] = {"op8_warc_revisits": OP8_SQL}
+ORACLES: dict[str, str] = {"op8_warc_revisits": OP8_SQL, "op13_collocations": OP13_SQL}
