@@ -155,8 +155,8 @@ def _features(df: DataFrame, width: int, threshold: float, seed: int) -> DataFra
 
 
 def _bloom(nodes: DataFrame, seed: int, bits: int) -> np.ndarray:
-    """A set of ``bits`` bits that holds every id of ``nodes``; a few others pass it too."""
-    place = F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(bits))
+    """A set of ``bits`` bits that holds every ``low`` of ``nodes``; a few other ids pass it too."""
+    place = F.pmod(F.xxhash64(F.lit(seed), "low"), F.lit(bits))
     words = nodes.select(F.shiftright(place, 5).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(32)).cast("int")).alias("bit"))
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most bits / 32 rows
     out = np.zeros(bits // 32, dtype=np.uint32)
@@ -165,14 +165,14 @@ def _bloom(nodes: DataFrame, seed: int, bits: int) -> np.ndarray:
 
 
 def _sets(df: DataFrame, nodes: DataFrame, width: int, seed: int) -> DataFrame:
-    """``node, items``: the full sets of the texts of ``nodes`` (``node, h, g``), made again from the texts."""
+    """``node, items``: the full sets of ``nodes`` (``node, low, n, h, g``), made again from a text of the id ``low``."""
     size = 1 << max(20, int(10 * nodes.count()).bit_length())
     texts = df.where("id is not null")
     held = None
     if size <= MOST_BLOOM_BITS:
         held = df.sparkSession.sparkContext.broadcast(_bloom(nodes, seed, size))
     else:
-        texts = texts.join(nodes.select(F.col("node").alias("id")), "id", "left_semi")
+        texts = texts.join(nodes.select(F.col("low").alias("id")), "id", "left_semi")
     place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,11 +185,12 @@ def _sets(df: DataFrame, nodes: DataFrame, width: int, seed: int) -> DataFrame:
                 hashes = [_set_hash(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    names=["node", "h", "g", "items"],
+                    names=["low", "h", "g", "items"],
                 )
 
-    made = texts.select("id", "text", place.alias("place")).mapInArrow(run, "node long, h long, g long, items array<long>")
-    return made.join(nodes.select("node", "h", "g"), ["node", "h", "g"]).dropDuplicates(["node"]).select("node", "items")
+    made = texts.select("id", "text", place.alias("place")).mapInArrow(run, "low long, h long, g long, items array<long>")
+    found = made.withColumn("n", F.size("items").cast("long")).join(nodes.select("node", "low", "h", "g", "n"), ["low", "h", "g", "n"])
+    return found.dropDuplicates(["node"]).select("node", "items")
 
 
 def _block_links(threshold: int, floor_: float):
@@ -259,9 +260,9 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
 
     Defined cases: a text that is null or has no words has an empty set, is linked with
     nothing and kept; a row with a null id is linked with nothing, has a null component
-    and is kept; repeated rows each give a row with the same answer; an id with several
-    texts gives each of them its own component; an empty table gives an empty table;
-    other columns are not read.
+    and is kept; repeated rows each give a row with the same answer; each of several texts
+    of one id is linked on its own, as if it were of an id of its own; an empty table
+    gives an empty table; other columns are not read.
     """
     from kinweave.operators.graph import connected_components
     from kinweave.session import materialise
@@ -270,9 +271,10 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     feats = materialise(_features(docs, width, threshold, seed), "mh-features")
     some = feats.where("n > 0 and id is not null")
-    classes = materialise(some.groupBy("h", "g", "n").agg(F.min("id").alias("node")), "mh-classes")
-    reps = some.join(classes.withColumnRenamed("node", "id"), ["h", "g", "n", "id"]).dropDuplicates(["id", "h", "g"])
-    reps = materialise(reps.select(F.col("id").alias("node"), "n", "h", "g", "sig", "keys"), "mh-reps")
+    # A class is one set of shingles, whatever ids its texts have; numbers are fixed once written.
+    classes = materialise(some.groupBy("h", "g", "n").agg(F.min("id").alias("low")).withColumn("node", F.monotonically_increasing_id()), "mh-classes")
+    reps = some.join(classes.withColumnRenamed("low", "id"), ["h", "g", "n", "id"]).dropDuplicates(["node"])
+    reps = materialise(reps.select("node", F.col("id").alias("low"), "n", "h", "g", "sig", "keys"), "mh-reps")
 
     # Candidates: each member of a band with its smallest member.
     banded = reps.select("node", F.explode("keys").alias("key"))
@@ -345,7 +347,9 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     if more.limit(1).count():
         component = connected_components(_ties(links.union(more), "a", "b"), "node", "low")
 
-    reach = classes.join(component, "node", "left").select("h", "g", "n", F.coalesce("component", "node").alias("component"))
+    least = component.join(classes.select("node", "low"), "node").groupBy("component").agg(F.min("low").alias("least"))
+    of_node = component.join(least, "component").select("node", "least")
+    reach = classes.join(of_node, "node", "left").select("h", "g", "n", F.coalesce("least", "low").alias("component"))
     out = feats.select("id", "n", "h", "g").join(reach, ["h", "g", "n"], "left")
     found = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), found.alias("component_id")).withColumn(

@@ -98,3 +98,26 @@ def test_ids_beyond_the_bit_set_are_joined(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, width=3, percent=85).collect()}
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()], 3, 85)
+
+
+def brute_rows(rows, width, percent):
+    """As ``brute``, each row on its own: its component is the smallest id of the rows it reaches."""
+    numbered = brute([(i, text) for i, (_, text) in enumerate(rows)], width, percent)
+    least = {}
+    for i, (n, c, _) in numbered.items():
+        least[c] = min(least.get(c, 1 << 60), rows[i][0])
+    return sorted((rows[i][0], n, least[c] if n else rows[i][0], (least[c] if n else rows[i][0]) == rows[i][0]) for i, (n, c, _) in numbered.items())
+
+
+def test_ids_with_several_texts(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(9)
+    a, b = (" ".join("".join(rng.choices(string.ascii_lowercase, k=5)) for _ in range(60)) for _ in range(2))
+    rows = [(5, a), (5, b), (7, a + " x"), (8, b + " y"), (9, b), (2, b + " z"), (5, a), (4, ""), (4, "one")]
+    rows += [(rng.randrange(100, 130), t) for t in family(rng, 80, 60, 5) + family(rng, 50, 80, 3)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in minhash.near_duplicates(df, width=3, percent=85).collect())
+    assert got == brute_rows(rows, 3, 85)
+    of = {(i, n): c for i, n, c, _ in got}
+    assert of[8, 59] == of[2, 59] == 2 and of[7, 59] == 5
