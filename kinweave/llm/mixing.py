@@ -5,7 +5,9 @@ exceeds ``max_epochs`` times its own size is clamped there and its excess goes t
 the others by weight, until no source is above its clamp. A source then gives
 ``floor(target / size)`` whole repetitions, and one more of those documents whose
 seeded hash lies below the source's cut; the cut is placed on the words, not the
-documents, so that a few long texts do not pull a source off its target.
+documents, so that a few long texts do not pull a source off its target. Equal rows
+draw the same number: where the cut falls among them, as many are taken as come nearest
+to the target.
 """
 
 from __future__ import annotations
@@ -70,9 +72,10 @@ def mix(
 
     Defined cases: a null or empty text has size 0 and takes nothing; a null source is
     a source of its own, last in order; a null id is hashed like any other value;
-    repeated rows draw the same number and stay or go together; an empty table gives
-    an empty table; input columns named like an output are replaced. More than
-    ``MAX_SOURCES`` sources raise ValueError: the per-source plan is held on the driver.
+    rows of one id and text draw the same number, and where the cut falls among them some
+    are taken once more than the others, in the order of the partitions that hold them; an
+    empty table gives an empty table; input columns named like an output are replaced. More
+    than ``MAX_SOURCES`` sources raise ValueError: the per-source plan is held on the driver.
     """
     from kinweave.session import materialise
 
@@ -106,21 +109,27 @@ def mix(
         F.broadcast(edge.alias("e")),
         F.col("r.src").eqNullSafe(F.col("e.src")) & (F.floor(F.col("r.u") * BINS).cast("int") == F.col("e.bin")),
     )
-    running = F.sum("r.n").over(Window.partitionBy("r.src").orderBy("r.u"))
-    cuts = (
-        inside.select(F.col("r.src").alias("src"), "bin", F.col("r.u").alias("u"), F.col("r.n").alias("n"), "room", running.alias("upto"))
-        .groupBy("src", "bin")
-        .agg(F.max(F.when(F.col("upto") - F.col("n") / 2 <= F.col("room"), F.col("u"))).alias("last"))
-        .select("src", F.coalesce("last", F.col("bin") / BINS - 1e-18).alias("cut"))
-    )
-    cut_of = {r.src: r.cut for r in cuts.collect()}
-    final = spark.createDataFrame(
-        [(s, n, t, w, cut_of.get(s, -1.0)) for s, n, t, w in zip(names, sizes, map(float, targets), whole)],
-        "kw_src string, kw_source_size long, kw_target double, kw_whole int, kw_cut double",
+    # Rows of one draw are one group; the cut falls between two groups or inside one.
+    groups = inside.where("r.n > 0").groupBy(F.col("r.src").alias("src"), "bin", F.col("r.u").alias("u"), "room").agg(F.sum("r.n").alias("n"), F.count("*").alias("rows"))
+    groups = groups.withColumn("upto", F.sum("n").over(Window.partitionBy("src").orderBy("u")))
+    groups = groups.withColumn("of", F.floor((F.col("room") - F.col("upto") + F.col("n")) * F.col("rows") / F.col("n") + 0.5).cast("long"))
+    whole_group = F.col("of") >= F.col("rows")
+    cuts = groups.groupBy("src", "bin").agg(
+        F.max(F.when(whole_group, F.col("u"))).alias("last"),
+        F.min(F.when(~whole_group & (F.col("of") > 0), F.struct("u", "of"))).alias("part"),
     )
+    cut_of = {r.src: r for r in cuts.select("src", F.coalesce("last", F.col("bin") / BINS - 1e-18).alias("cut"), "part.u", "part.of").collect()}
+    plan_rows = []
+    for s, n, t, w in zip(names, sizes, map(float, targets), whole):
+        cut = cut_of.get(s)
+        plan_rows.append((s, n, t, w, cut.cut if cut else -1.0, cut.u if cut else None, cut.of if cut else None))
+    final = spark.createDataFrame(plan_rows, "kw_src string, kw_source_size long, kw_target double, kw_whole int, kw_cut double, kw_part double, kw_of long")
     joined = df.join(F.broadcast(final), F.col(source_col).cast("string").eqNullSafe(F.col("kw_src")), "left")
-    extra = (_draw(seed, id_col, text_col) <= F.col("kw_cut")).cast("int")
-    out = joined.withColumns({"kw_size": size, "kw_reps": F.col("kw_whole") + extra})
+    joined = joined.withColumns({"kw_size": size, "kw_u": _draw(seed, id_col, text_col)}).withColumn("kw_extra", (F.col("kw_u") <= F.col("kw_cut")).cast("int"))
+    if any(r.u is not None for r in cut_of.values()):
+        among = F.coalesce(F.col("kw_u") == F.col("kw_part"), F.lit(False))
+        joined = joined.where(~among).unionByName(_some_of(joined.where(among)))
+    out = joined.withColumn("kw_reps", F.col("kw_whole") + F.col("kw_extra"))
     made = {
         "size": F.col("kw_size"),
         "source_size": F.col("kw_source_size"),
@@ -132,6 +141,20 @@ def mix(
     return out.select(*kept, *(v.alias(k) for k, v in made.items()))
 
 
+def _some_of(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``kw_extra`` 1 for the first ``kw_of`` of each source, counted partition by partition."""
+    from kinweave.session import materialise
+
+    held = materialise(rows.withColumn("kw_number", F.monotonically_increasing_id()), "mix-equal").withColumn("kw_task", F.shiftright("kw_number", 33))
+    per_task = held.groupBy(F.col("kw_src").alias("kw_of_src"), F.col("kw_task").alias("kw_of_task")).agg(F.count("*").alias("kw_rows"))
+    before = F.coalesce(F.sum("kw_rows").over(Window.partitionBy("kw_of_src").orderBy("kw_of_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row for each source and partition.
+    per_task = per_task.select("kw_of_src", "kw_of_task", before.alias("kw_before"))
+    place = F.row_number().over(Window.partitionBy("kw_src", "kw_task").orderBy("kw_number"))
+    counted = held.withColumn("kw_place", place).join(per_task, F.col("kw_src").eqNullSafe(F.col("kw_of_src")) & (F.col("kw_task") == F.col("kw_of_task")))
+    return counted.withColumn("kw_extra", (F.col("kw_before") + F.col("kw_place") <= F.col("kw_of")).cast("int")).select(*rows.columns)
+
+
 def repeat_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each row as often as the mix takes it, with ``columns`` only.
 

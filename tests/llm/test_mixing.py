@@ -60,3 +60,26 @@ def test_odd_rows(spark):
     repeated = mixing.repeat_rows(mixing.mix(df), df.columns)
     assert repeated.columns == df.columns and repeated.count() == sum(r.repetitions for r in out)
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_equal_rows_come_near_the_target(spark):
+    # 50 equal rows of a source whose target is about half its size, beside single rows and equal ones of a few ids.
+    rows = [(1, "w " * 100, "a", i % 7) for i in range(50)]
+    rows += [(i, "v " * 160, "b", i) for i in range(100, 130)] + [(i, "u " * (10 + i % 3), "c", i) for i in range(200, 240)] * 3
+    rows += [(None, "t t t", "d", 0)] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, kw_u int").repartition(6)
+    out = mixing.mix(df, lambda names: [3.0, 5.0, 4.0, 0.02]).collect()
+    assert len(out) == len(rows) and "kw_u" in out[0].asDict()
+    for source in "abcd":
+        mine = [r for r in out if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r["size"] for r in mine), source
+        assert 0 < mine[0].target and all(r.taken <= 3 * r["size"] for r in mine)
+    again = mixing.mix(df, lambda names: [3.0, 5.0, 4.0, 0.02]).collect()
+    key = lambda r: (r.source, r.doc_id or 0, r.taken)
+    assert sorted(map(key, out)) == sorted(map(key, again))
+
+
+def test_the_cut_inside_equal_rows_alone(spark):
+    rows = [(1, "w " * 100, "a") for _ in range(50)] + [(2, "v " * 10_000, "b")]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), budget=2667 + 5000, weigh=lambda n: [2667.0, 5000.0]).collect()
+    assert sum(r.taken for r in out if r.source == "a") == 2700
