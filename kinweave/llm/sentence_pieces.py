@@ -4,8 +4,10 @@ A text is normalised and cut into segments that no piece can span. A segment's
 characters are its first symbols; every two adjacent symbols that make a piece wait in an
 agenda ordered by the piece's score, and by place among equal scores. The best pair is
 merged and its two neighbours are offered anew, until the agenda is empty. Symbols
-without a piece become their bytes. The encoder can be checked batch by batch against the
-sentencepiece library, which also normalises the texts.
+without a piece become their bytes. The agendas of many short segments stand side by side
+as the rows of an array, and each turn merges the best pair of every row; a long segment
+has a heap. The encoder can be checked batch by batch against the sentencepiece library,
+which also normalises the texts.
 """
 
 from __future__ import annotations
@@ -13,20 +15,24 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from kinweave.llm.bpe import _lists, _slices
+from kinweave.llm.bpe import _lists, _Numbers, _slices
 
 BLANK = "▁"
 #: The store of encoded segments is emptied beyond either.
-MAX_CACHED_SEGMENTS = 250_000
-MAX_CACHED_CHARS = 4_000_000
+MAX_CACHED_SEGMENTS = 400_000
+MAX_CACHED_CHARS = 8_000_000
 #: Texts go through the encoder in runs of either size; longer ones are cut into segments piecemeal.
 DOCS_PER_RUN = 1000
 CHARS_PER_RUN = 1_000_000
+#: Agendas side by side are for segments up to the last of these lengths, those up to each length together.
+SHORT = (4, 8, 12, 16, 24)
+_NONE = np.iinfo(np.int32).max
 
 
 def load_model(path: str) -> bytes:
@@ -60,7 +66,8 @@ class Pieces:
         if any(library.is_unused(i) for i in own):
             raise ValueError("the model has unused pieces")
         self.id_of = {pieces[i]: i for i in own}
-        self.cost = {pieces[i]: -library.get_score(i) for i in own if len(pieces[i]) > 1}
+        scores = {pieces[i]: -library.get_score(i) for i in own if len(pieces[i]) > 1}
+        self._index(scores)
         unknown = library.decode([library.unk_id()])
         mine = set(own)
         self.shown = [pieces[i].replace(BLANK, " ") if i in mine else unknown if library.is_unknown(i) else "" for i in range(size)]
@@ -68,19 +75,72 @@ class Pieces:
         self.starts_blank = np.array([i in mine and pieces[i].startswith(BLANK) for i in range(size)], dtype=bool)
         self.strips_all = library.normalize("  a") == library.normalize("a")
         self.strips = self.strips_all or library.normalize("a").startswith(BLANK)
-        # Where no piece has a blank after another character, a text falls apart there.
+        # Where no piece has a blank after another character, a text falls apart there; and around characters of no longer piece.
         apart = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.id_of)
-        self.segment = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if apart else r"[\s\S]+")
+        joined = {c for p in scores for c in p}
+        lone = "".join(re.escape(chr(c)) for c in range(0x250) if chr(c) not in joined)
+        self.segment = re.compile((f"[{lone}]|" if lone else "") + (f"{BLANK}*[^{BLANK}{lone}]+|{BLANK}+" if apart else f"[^{lone}]+" if lone else r"[\s\S]+"))
         self.cut = re.compile(f"(?<=[^{BLANK}]){BLANK}") if apart else None
         self._empty()
 
+    def _index(self, scores: dict[str, float]) -> None:
+        """The costs of pairs: by the piece they make, and by the numbers of the two symbols."""
+        place = {c: i for i, c in enumerate(sorted(set(scores.values())))}  # equal scores cost the same
+        self.cost = {p: place[c] for p, c in scores.items()}
+        self.symbol = np.full(0x110000, -1, dtype=np.int64)
+        for p, i in self.id_of.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        pairs = {}
+        for p in self.cost:
+            for cut in range(1, len(p)):
+                left, right = self.id_of.get(p[:cut]), self.id_of.get(p[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = p
+        keys = sorted(pairs)
+        self.keys = np.array([*keys, 1 << 62], dtype=np.int64)
+        self.made = np.array([*(self.id_of[pairs[k]] for k in keys), -1], dtype=np.int64)
+        self.pair_cost = np.array([*(self.cost[pairs[k]] for k in keys), _NONE], dtype=np.int32)
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The place of each pair of symbols in the index, the last one for a pair that makes nothing."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, at, len(self.keys) - 1)
+
     def _empty(self) -> None:
-        self.known: dict[str, bytes] = {}
+        self.numbers = _Numbers()
         self.known_chars = 0
-
-    def agenda(self, segment: str) -> list[int]:
-        """The ids of one segment."""
-        symbols = list(segment)
+        self.ids, self.begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _side_by_side(self, symbols: np.ndarray) -> np.ndarray:
+        """Rows of symbols (-1 behind the end) merged until no pair makes a piece."""
+        out = np.full(symbols.shape, -1, dtype=np.int64)
+        row, nothing = np.arange(len(symbols)), len(self.keys) - 1
+        pairs = np.full(symbols.shape, nothing, dtype=np.int64)
+        pairs[:, :-1] = np.where(symbols[:, 1:] >= 0, self._pair(symbols[:, :-1], np.maximum(symbols[:, 1:], 0)), nothing)
+        column = np.arange(symbols.shape[1])[None]
+        while len(row):
+            cost = self.pair_cost[pairs]
+            best = cost.argmin(1)  # the first of equal ones
+            some = cost[np.arange(len(row)), best] < _NONE
+            if not some.all():
+                out[row[~some]] = symbols[~some]
+                row, symbols, pairs, best = row[some], symbols[some], pairs[some], best[some]
+            at = np.arange(len(row))
+            merged = self.made[pairs[at, best]]
+            behind = column > best[:, None]
+            symbols = np.where(behind, np.pad(symbols[:, 1:], ((0, 0), (0, 1)), constant_values=-1), symbols)
+            pairs = np.where(behind, np.pad(pairs[:, 1:], ((0, 0), (0, 1)), constant_values=nothing), pairs)
+            symbols[at, best] = merged
+            after = np.where(best + 1 < symbols.shape[1], symbols[at, np.minimum(best + 1, symbols.shape[1] - 1)], -1)
+            pairs[at, best] = np.where(after >= 0, self._pair(merged, np.maximum(after, 0)), nothing)
+            inner = np.flatnonzero(best > 0)
+            pairs[inner, best[inner] - 1] = self._pair(symbols[inner, best[inner] - 1], merged[inner])
+        return out
+
+    def _merged(self, symbols: list[str]) -> list[str]:
+        """The agenda as a heap. Merged symbols stay in place, empty ones after them."""
         last = len(symbols) - 1
         comes, follows = list(range(-1, last)), list(range(1, last + 2))
         cost, heap = self.cost, []
@@ -106,8 +166,12 @@ class Pieces:
                 wider = symbols[h] + piece
                 if wider in cost:
                     heapq.heappush(heap, (cost[wider], h, i, wider))
+        return symbols
+
+    def agenda(self, segment: str) -> list[int]:
+        """The ids of one segment of any length."""
         ids: list[int] = []
-        for s in symbols:
+        for s in self._merged(list(segment)):
             if s:
                 found = self.id_of.get(s)
                 if found is None:
@@ -116,15 +180,37 @@ class Pieces:
                     ids.append(found)
         return ids
 
-    def _coded(self, segment: str) -> bytes:
-        found = self.known.get(segment)
-        if found is None:
-            found = np.array(self.agenda(segment), dtype=np.int32).tobytes()
-            if len(self.known) >= MAX_CACHED_SEGMENTS or self.known_chars >= MAX_CACHED_CHARS:
-                self._empty()
-            self.known[segment] = found
-            self.known_chars += len(segment)
-        return found
+    def segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all segments, one after the other (32-bit), and how many each has."""
+        lengths = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
+        ends = np.cumsum(lengths)
+        symbols = self.symbol[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        # A character without a piece sends its segment to the heap, unless it is the segment.
+        odd = np.zeros(len(segments), dtype=bool)
+        odd[np.searchsorted(ends, np.flatnonzero(symbols < 0), side="right")] = True
+        counts, found = np.zeros(len(segments), dtype=np.int64), []
+        least = 0
+        for most in SHORT:
+            here = np.flatnonzero((lengths > least) & (lengths <= most) & ~odd)
+            for part in np.split(here, range(20_000, len(here), 20_000)):
+                column = np.arange(most)[None]
+                inside = column < lengths[part][:, None]
+                at = (ends - lengths)[part][:, None] + column
+                rows = self._side_by_side(np.where(inside, symbols[np.minimum(at, len(symbols) - 1)], -1)) if len(part) else at
+                held = rows >= 0
+                counts[part] = held.sum(1)
+                found.append((part, rows[held]))
+            least = most
+        rest = np.flatnonzero((lengths > least) | odd)
+        coded = [self.agenda(segments[i]) for i in rest.tolist()]
+        counts[rest] = [len(ids) for ids in coded]
+        found.append((rest, np.array([i for ids in coded for i in ids], dtype=np.int64)))
+        begins = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), dtype=np.int32)
+        for part, ids in found:
+            n = counts[part]
+            out[np.repeat(begins[part] - np.cumsum(n) + n, n) + np.arange(len(ids))] = ids
+        return out, counts
 
     def _parts(self, text: str) -> Iterator[list[str]]:
         begin = 0
@@ -134,11 +220,28 @@ class Pieces:
             yield self.segment.findall(text, begin, end)
             begin = end
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a whole text (32-bit)."""
-        coded = self._coded
-        raw = b"".join(b"".join(map(coded, part)) for part in self._parts(self.library.normalize(text)))
-        return np.frombuffer(raw, dtype=np.int32)
+    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """The ids of each whole text (32-bit). Segments are kept as numbers, and each new one is encoded once."""
+        if len(self.numbers) > MAX_CACHED_SEGMENTS or self.known_chars > MAX_CACHED_CHARS:
+            self._empty()
+        before = len(self.numbers)
+        number = self.numbers.__getitem__
+        coded = []
+        for text in texts:
+            parts = [np.fromiter(map(number, part), dtype=np.int32, count=len(part)) for part in self._parts(self.library.normalize(text))]
+            coded.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
+        new = list(islice(self.numbers, before, None))
+        self.known_chars += sum(map(len, new))
+        ids, counts = self.segments(new)
+        self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(counts)))
+        self.ids = np.concatenate((self.ids, ids))
+        out = []
+        for segments in coded:
+            first = self.begins[segments]
+            sizes = self.begins[segments + 1] - first
+            ends = np.cumsum(sizes)
+            out.append(self.ids[np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)])
+        return out
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of the ids: blanks shown, the one put before the text gone, bytes read as UTF-8, a bad byte as U+FFFD."""
@@ -223,7 +326,7 @@ def encode(
         for batch in batches:
             rest = [batch.column(i) for i in range(1, batch.num_columns)]
             for begin, texts in _slices(batch.column(0), DOCS_PER_RUN, CHARS_PER_RUN):
-                coded = [pieces.encode(t) for t in texts]
+                coded = pieces.encode(texts)
                 arrays = [c.slice(begin, len(texts)) for c in rest] + [_lists(coded)]
                 decoded = [pieces.decode(c) for c in coded] if with_decoded or check else []
                 if check:

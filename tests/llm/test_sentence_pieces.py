@@ -31,8 +31,8 @@ def texts():
 
 
 def test_agenda_is_the_library(pieces):
-    for text in texts():
-        ids = pieces.encode(text)
+    sample = texts()
+    for text, ids in zip(sample, pieces.encode(sample)):
         assert ids.tolist() == pieces.library.encode(text), repr(text)
         assert pieces.decode(ids) == pieces.library.decode(ids.tolist()), repr(text)
 
@@ -49,7 +49,7 @@ def test_ties_go_to_the_left(pieces):
     # Equal costs: the agenda must take the leftmost, as one search after the other does.
     own = object.__new__(sentence_pieces.Pieces)
     own.id_of = {p: i for i, p in enumerate(["a", "b", "ab", "ba", "aa", "aab", "abab", "bb"])}
-    own.cost = {"ab": 1.0, "ba": 1.0, "aa": 1.0, "aab": 0.5, "abab": 2.0, "bb": 1.0}
+    own._index({"ab": 1.0, "ba": 1.0, "aa": 1.0, "aab": 0.5, "abab": 2.0, "bb": 1.0})
     own.byte_id = np.arange(100, 356)
 
     def plain(text):
@@ -65,12 +65,14 @@ def test_ties_go_to_the_left(pieces):
     for _ in range(2000):
         text = "".join(rng.choices("ab", k=rng.randint(1, 14)))
         assert own.agenda(text) == plain(text), text
+        ids, counts = own.segments([text, "b", text])
+        assert ids.tolist() == plain(text) + [1] + plain(text) and counts.tolist()[1] == 1
 
 
 @pytest.mark.parametrize("word", ["a" * 300_000, "na" * 150_000, "".join(random.Random(2).choices("abcdefghijklmnopqrstuvwxyz", k=300_000))])
 def test_one_very_long_word(pieces, word):
     begin = time.time()
-    ids = pieces.encode(word).tolist()
+    ids = pieces.encode([word])[0].tolist()
     assert time.time() - begin < 20 and ids == pieces.library.encode(word)
 
 
@@ -80,7 +82,7 @@ def test_long_texts_and_small_stores_change_nothing(pieces, monkeypatch):
     for chars, segments in ((50, 10), (1000, 250_000)):
         monkeypatch.setattr(sentence_pieces, "CHARS_PER_RUN", chars)
         monkeypatch.setattr(sentence_pieces, "MAX_CACHED_SEGMENTS", segments)
-        assert pieces.encode(text).tolist() == want
+        assert pieces.encode([text, text])[1].tolist() == want
 
 
 def test_table(spark, model, pieces):
@@ -99,7 +101,7 @@ def test_check_fails_the_job(pieces):
     with pytest.raises(ValueError):
         sentence_pieces._compare(pieces, ["the cat"], [np.array([5], dtype=np.int32)], ["the cat"])
     with pytest.raises(ValueError):
-        sentence_pieces._compare(pieces, ["the cat"], [pieces.encode("the cat")], ["the cat "])
+        sentence_pieces._compare(pieces, ["the cat"], pieces.encode(["the cat"]), ["the cat "])
 
 
 def test_op12_against_the_library(spark, sf):
