@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Texts are counted together inside a task up to so many characters.
-CHARS_PER_CHUNK = 8_000_000
+CHARS_PER_CHUNK = 6_000_000
+ROWS_AT_ONCE = 50_000
 #: The bit set of frequent pairs has some ten bits a pair, at most so many; a fuller one lets more rare pairs through.
 MOST_PAIR_BITS = 1 << 26
 #: Frequent phrases up to so many bytes together are sent to every task; more are joined by a shuffle.
@@ -73,15 +74,17 @@ class Chunk:
         x ^= x >> np.uint64(32)
         return ((x * _K3) >> np.uint64(24)).astype(np.int64), (a > 0) & (b > 0)
 
-    def grams(self, places: np.ndarray, k: int) -> tuple[list[bytes], np.ndarray]:
-        """The distinct sequences of ``k`` words at ``places`` and how often each stands there."""
+    def grams(self, places: np.ndarray, k: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """The distinct sequences of ``k`` words at ``places`` and how often each stands there, some at a time."""
         code = self.at[places]
         for j in range(1, k):
             # Numbers of distinct beginnings stay below the number of places.
             _, code = np.unique((code << _WORD_BITS if len(self.words) < 1 << _WORD_BITS else code * len(self.words)) + self.at[places + j], return_inverse=True)
         _, first, n = np.unique(code, return_index=True, return_counts=True)
-        words = self.words
-        return [b" ".join([words[i] for i in self.at[p : p + k].tolist()]) for p in places[first].tolist()], n
+        words, first = self.words, places[first]
+        for begin in range(0, len(first), ROWS_AT_ONCE):
+            some = first[begin : begin + ROWS_AT_ONCE].tolist()
+            yield [b" ".join([words[i] for i in self.at[p : p + k].tolist()]) for p in some], n[begin : begin + ROWS_AT_ONCE]
 
     def edges_and_ends(self, joined: np.ndarray, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
         """``k``, sequences, counts: the edges for ``longest``, and the ends of runs for each shorter ``k``.
@@ -94,10 +97,10 @@ class Chunk:
         for j in range(longest - 1):
             run[: len(run) - j] &= goes_on[j:]
             run[len(run) - j :] = False
-        yield longest, *self.grams(np.flatnonzero(run), longest)
+        yield from ((longest, *some) for some in self.grams(np.flatnonzero(run), longest))
         ends = np.flatnonzero(word & ~goes_on)
         for k in range(1, longest):
-            yield k, *self.grams(ends - (k - 1), k)
+            yield from ((k, *some) for some in self.grams(ends - (k - 1), k))
             before = ends - k
             ends = ends[(before >= 0) & goes_on[np.maximum(before, 0)]]
 
@@ -172,12 +175,10 @@ def phrase_counts(df: DataFrame, *, longest: int = 5, least: int = 100, lang_col
             at = slots & (32 * len(bits) - 1)
             both &= (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
             for k, grams, n in chunk.edges_and_ends(both, longest):
-                for begin in range(0, len(grams), 50_000):
-                    part = grams[begin : begin + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()), pa.array(part, pa.binary()).cast(pa.string()), pa.array(n[begin : begin + 50_000], pa.int64())],
-                        names=["lang", "k", "phrase", "n"],
-                    )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), pa.string()), pa.array([k] * len(grams), pa.int32()), pa.array(grams, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
+                    names=["lang", "k", "phrase", "n"],
+                )
 
     counted = docs.mapInArrow(run, "lang string, k int, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
     counted = materialise(counted, "ph-edges")
