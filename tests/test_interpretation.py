@@ -167,11 +167,11 @@ def test_corrected_surnames_of_the_village(spark, sf):
 
 
 def card(**over):
-    base = {"sex": "M", "sex2": "M", "confirmed": None, "births": [], "deaths": [], "acts": [], "fathers": [], "mothers": [], "spouses": [], "children": [], "names": ["a"], "trades": [], "places": [], "low": None, "high": None, "birth": None, "death": None, "first": None, "last": None, "first_child": None, "last_child": None, "bound_low": None, "bound_high": None}
+    base = {"sex": "M", "sex2": "M", "confirmed": None, "births": [], "deaths": [], "acts": [], "fathers": [], "mothers": [], "spouses": [], "children": [], "names": ["a"], "trades": [], "places": [], "low": None, "high": None, "birth": None, "death": None, "first": None, "last": None, "first_child": None, "last_child": None, "bound_low": None, "bound_high": None, "mentions": [], "apart": []}
     return {**base, **over}
 
 
-KINDS = "sex string, sex2 string, confirmed string, births array<long>, deaths array<long>, acts array<long>, fathers array<long>, mothers array<long>, spouses array<long>, children array<long>, names array<string>, trades array<string>, places array<string>, low int, high int, birth int, death int, first int, last int, first_child int, last_child int, bound_low int, bound_high int"
+KINDS = "sex string, sex2 string, confirmed string, births array<long>, deaths array<long>, acts array<long>, fathers array<long>, mothers array<long>, spouses array<long>, children array<long>, names array<string>, trades array<string>, places array<string>, low int, high int, birth int, death int, first int, last int, first_child int, last_child int, bound_low int, bound_high int, mentions array<long>, apart array<long>"
 
 
 def cards_of(spark, *pairs):
@@ -185,7 +185,7 @@ def test_vetoes(spark):
     cases = [
         ({"sex": "F", "sex2": "F"}, {}, "sex"), ({"confirmed": "x"}, {"confirmed": "y"}, "confirmed house"), ({"births": [1]}, {"births": [2]}, "two births"), ({"deaths": [1]}, {"deaths": [2]}, "two deaths"), ({"last": 1850}, {"death": 1840}, "alive after death"),
         ({"first": 1800}, {"birth": 1810}, "before birth"), ({"birth": 1800}, {"low": 1820}, "stated age"), ({"bound_low": 1830}, {"bound_high": 1820}, "birth window"), ({"birth": 1800}, {"first_child": 1810}, "child too early"),
-        ({"first_child": 1800}, {"first_child": 1801, "last_child": 1870}, "bearing span"), ({"death": 1830}, {"last_child": 1833, "first_child": 1833}, "child after death"), ({"fathers": [1], "mothers": [2]}, {"fathers": [3], "mothers": [4]}, "both parents"), ({"acts": [1, 2]}, {"acts": [2]}, "one act"), ({}, {}, None),
+        ({"first_child": 1800}, {"first_child": 1801, "last_child": 1870}, "bearing span"), ({"death": 1830}, {"last_child": 1833, "first_child": 1833}, "child after death"), ({"fathers": [1], "mothers": [2]}, {"fathers": [3], "mothers": [4]}, "both parents"), ({"mentions": [1, 2], "apart": [9]}, {"mentions": [9]}, "one act"), ({"acts": [1, 2]}, {"acts": [2]}, None),
     ]
     both, _ = cards_of(spark, *[(a, b) for a, b, _ in cases])
     assert [r.v for r in both.select("a", linkage.pair_veto().alias("v")).orderBy("a").collect()] == [v for _, _, v in cases]
