@@ -86,47 +86,81 @@ def first_present(*columns: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in columns])
 
 
+#: A form proposed in a note, and the ways in which a note sets two of them side by side.
+NOTED_FORM = r"[A-Z][A-Za-zàèéìòù'’\[\]?. ]{2,24}"
+NOTED_PAIRS = (rf"\(({NOTED_FORM})\s*/\s*({NOTED_FORM})\)", rf"'({NOTED_FORM})'\s*[,/]?\s*'({NOTED_FORM})'", rf"\b({NOTED_FORM})\s*/\s*({NOTED_FORM})\b")
+
+
 def note_alternatives(note: Column) -> Column:
-    """Other readings that a note gives, by the first form of words that finds any; empty for none.
+    """The forms a note sets side by side, both of each pair, by the first way of writing them that it uses; empty for none.
 
-    "leggibile anche X", then "potrebbe essere X" and "forse X", then "X o Y".
+    "(Tommolilli / Iemminilli)", then "'Pope', 'Popa'", then "Iorzo[?] / Iorio"; marks of doubt are taken off.
     """
-    word = r"['\"]?(\p{Lu}[\p{L}']+(?:\s\p{Lu}[\p{L}']+)?)"
-    ways = [r"(?i:(?:leggibile|leggersi|letto)\s+(?:anche\s+)?(?:come\s+)?)" + word, r"(?i:(?:potrebbe\s+(?:essere|leggersi)|forse)\s+)" + word, r"\p{Lu}[\p{L}']+\s+o\s+" + word]
-    found = [F.array_distinct(F.regexp_extract_all(F.coalesce(note, F.lit("")), F.lit(w), F.lit(1))) for w in ways]
-    return F.when(F.size(found[0]) > 0, found[0]).when(F.size(found[1]) > 0, found[1]).otherwise(found[2])
+    text = F.coalesce(note, F.lit(""))
+    clean = lambda x: F.regexp_replace(doubtful(x)["value"], r"^[ '’.]+|[ '’.]+$", "")
+
+    def pairs(way: str) -> Column:
+        both = F.arrays_zip(F.regexp_extract_all(text, F.lit(way), F.lit(1)).alias("x"), F.regexp_extract_all(text, F.lit(way), F.lit(2)).alias("y"))
+        forms = F.transform(F.flatten(F.transform(both, lambda p: F.array(p["x"], p["y"]))), clean)
+        return F.array_distinct(F.filter(forms, lambda x: x.isNotNull() & (x != "")))
+
+    first, second, third = map(pairs, NOTED_PAIRS)
+    return F.when(F.size(first) > 0, first).when(F.size(second) > 0, second).otherwise(third)
+
+
+#: A father's name behind a surname, the share up to which it counts as a given name, the least length of what stays.
+FILIATION = r"^(.+?)\s+(?:fu|di|de|d')\s+(\p{Lu}[\p{L}\p{N}_'’]+(?:\s+\p{Lu}[\p{L}\p{N}_'’]+)?)\s*$"
+SHARE_OF_A_NAME = 0.35
+LEAST_SURNAME = 3
+
+
+def filiation_tail(surname: Column) -> Column:
+    """What stands behind "fu" or "di" in a surname, or null: the word whose balance :func:`filiation` asks for."""
+    return F.nullif(F.regexp_extract(F.trim(surname), FILIATION, 2), F.lit(""))
 
 
 def filiation(surname: Column, balance: Column) -> Column:
-    """``struct(surname, father)`` of "Lella fu Michele": what follows is a father if it is seldom a surname (balance at most .35)."""
-    pattern = r"^(.+?)\s+(?:fu|di)\s+(\p{Lu}[\p{L}'’]{2,})$"
-    hit = (F.regexp_extract(surname, pattern, 2) != "") & (F.coalesce(balance, F.lit(0.0)) <= 0.35)
-    return F.struct(F.when(hit, F.regexp_extract(surname, pattern, 1)).otherwise(surname).alias("surname"), F.when(hit, F.regexp_extract(surname, pattern, 2)).alias("father"))
+    """``struct(surname, father)`` of "Lella fu Michele": what follows is a father if the corpus seldom reads it as a surname.
+
+    ``balance`` is that share for :func:`filiation_tail`. A word the corpus does not know
+    (null) is left alone, and so is a surname that would keep less than three letters.
+    """
+    head = F.trim(F.regexp_extract(F.trim(surname), FILIATION, 1))
+    hit = filiation_tail(surname).isNotNull() & (F.char_length(head) >= LEAST_SURNAME) & F.coalesce(balance <= SHARE_OF_A_NAME, F.lit(False))
+    return F.struct(F.when(hit, head).otherwise(surname).alias("surname"), F.when(hit, filiation_tail(surname)).alias("father"))
+
+
+#: Titles before a name, and what a clerk's explanation behind a name says.
+TITLES = r"(?i)^(?:donna|don|signora|signor|sigr?a?\.?)\s+"
+APPOSITIONS = r"(?i)\s+(sua\s+moglie|suo\s+marito|sua\s+madre|suo\s+padre|sua\s+figlia|suo\s+figlio|defunt[oa]|vedov[oa]|nubile|celibe|coniugat[oa]|\[sic\])\s*$"
+STATES = ("defunto", "defunta", "vedovo", "vedova", "nubile", "celibe", "coniugato", "coniugata")
 
 
 def untitled(name: Column) -> Column:
-    """``struct(name, title)``: a title before the name taken off."""
-    pattern = r"(?i)^(don|donna|signor[ae]?|sig\.(?:ra)?|dottor(?:e)?|dott\.|notar(?:o)?|reverendo|rev\.|sacerdote|arciprete|barone|cavaliere)\s+"
-    return F.struct(F.regexp_replace(name, pattern, "").alias("name"), F.nullif(F.lower(F.regexp_extract(name, pattern, 1)), F.lit("")).alias("title"))
+    """``struct(name, title)``: a title before the name taken off, as it was written."""
+    text = F.trim(name)
+    title = F.nullif(F.trim(F.regexp_extract(text, TITLES, 0)), F.lit(""))
+    return F.struct(F.when(title.isNull(), name).otherwise(F.nullif(F.trim(F.regexp_replace(text, TITLES, "")), F.lit(""))).alias("name"), title.alias("title"))
 
 
 def apposition(name: Column) -> Column:
-    """``struct(name, status)`` of "Anna sua moglie", "Anna vedova di Luca": what follows the name taken off, widowhood and death kept."""
-    pattern = r"(?i),?\s+((?:sua|di lui)\s+(?:legittima\s+)?moglie|(?:suo\s+)?marito|vedov[ao]|defunt[ao]|nubile|celibe)\b.*$"
-    said = F.lower(F.regexp_extract(name, pattern, 1))
-    status = F.when(said.rlike("^(vedov|defunt|nubile|celibe)"), said).when(said.contains("moglie"), "coniugata").when(said.contains("marito"), "coniugato")
-    return F.struct(F.regexp_replace(name, pattern, "").alias("name"), status.alias("status"))
+    """``struct(name, status)`` of "Felice sua moglie", "d'Ettorre defunta": what a clerk explains at the end taken off, a state of life kept."""
+    said = F.lower(F.regexp_extract(name, APPOSITIONS, 1))
+    return F.struct(F.when(said == "", name).otherwise(F.nullif(F.trim(F.regexp_replace(name, APPOSITIONS, "")), F.lit(""))).alias("name"), F.when(said.isin(*STATES), said).alias("status"))
 
 
 #: Words that open the name of a place within a town, and words that say nothing in it.
-PLACE_WORDS = ("strada", "via", "vico", "vicolo", "contrada", "rione", "largo", "piazza", "casale", "masseria", "borgo", "quartiere", "sobborgo")
-EMPTY_WORDS = ("strada", "via", "vico", "vicolo", "contrada", "rione", "largo", "piazza", "di", "del", "della", "dello", "dei", "delle", "detta", "detto", "la", "lo", "il", "le", "a", "al", "alla", "in", "piedi", "sita", "sito")
+PLACE_WORDS = ("strada", "via", "rua", "contrada", "porta", "piazza", "piano", "lama", "vico", "largo")
+EMPTY_WORDS = (
+    "strada", "via", "della", "delle", "dello", "degli", "del", "di", "da", "la", "il", "lo", "le", "li", "a", "al", "alla", "in", "vicino", "sotto", "sopra", "dinanzi", "davanti", "avanti", "piedi", "capo", "cima", "fuori",
+    "questa", "questo", "detta", "detto", "comune", "sudetta", "suddetta", "medesima", "istessa", "nella", "nel", "e", "ed", "che",
+)
 
 
 def place_core(text: Column) -> Column:
-    """The words that tell one place of a town from another: from the opening word on, at most 40 characters, empty words left out."""
-    found = F.regexp_extract(text, r"(?i)\b(?:" + "|".join(PLACE_WORDS) + r")\b.{0,40}", 0)
-    words = F.filter(F.split(normal(found), r"[\s.,]+"), lambda w: (w != "") & ~w.isin(*EMPTY_WORDS))
+    """The words that tell one place of a town from another: from the opening word to the next comma, at most 40 characters, empty words left out."""
+    found = F.regexp_extract(text, r"(?i)\b(?:" + "|".join(PLACE_WORDS) + r")\b[\s\p{L}\p{N}_'’\[\]?.]{0,40}", 0)
+    words = F.filter(F.split(normal(F.coalesce(doubtful(found)["value"], F.lit(""))), r"[\s.]+"), lambda w: (w != "") & ~w.isin(*EMPTY_WORDS))
     return F.nullif(F.array_join(words, " "), F.lit(""))
 
 
@@ -178,14 +212,25 @@ def place_in_text(text: Column, word: Column) -> Column:
     return F.when(at > 0, (at - 1) / F.greatest(F.char_length(text), F.lit(1)))
 
 
-#: Answers and the verdict they stand for.
-VERDICTS = {"si": "yes", "sì": "yes", "yes": "yes", "stessa": "yes", "uguale": "yes", "confermo": "yes", "no": "no", "diversa": "no", "diversi": "no", "rifiuto": "no", "dubbio": "unsure", "incerto": "unsure", "non so": "unsure", "forse": "unsure", "illeggibile": "unreadable"}
+#: The seven verdicts of a second reading, and other words for them.
+VERDICTS = ("CONFERMATO", "COMPATIBILE", "CONFLITTO_CON_LA_TRASCRIZIONE", "CONFLITTO_CON_IL_CONTESTO", "AMBIGUO", "NON_LEGGIBILE", "PROVE_INSUFFICIENTI")
+SAME_VERDICT = {
+    "ERRORE_TRASCRIZIONE": "CONFLITTO_CON_LA_TRASCRIZIONE", "ERRORE_DI_TRASCRIZIONE": "CONFLITTO_CON_LA_TRASCRIZIONE", "ERRORE_NELLA_TRASCRIZIONE": "CONFLITTO_CON_LA_TRASCRIZIONE",
+    "CORRETTO": "CONFLITTO_CON_LA_TRASCRIZIONE", "CORRETTO_DA_IMMAGINE": "CONFLITTO_CON_LA_TRASCRIZIONE", "CORRETTO_DALL_IMMAGINE": "CONFLITTO_CON_LA_TRASCRIZIONE", "CORRETTO_DAL_GENEALOGISTA": "CONFLITTO_CON_LA_TRASCRIZIONE",
+    "CONFORME": "CONFERMATO", "CONFERMATO_DA_IMMAGINE": "CONFERMATO", "CONFERMATO_DALL_IMMAGINE": "CONFERMATO", "CONFERMATO_CON_NOTE": "CONFERMATO", "CONFERMATO_CON_VARIANTE_GRAFICA": "CONFERMATO",
+    "CONFERMATO_CON_DIVERGENZA": "AMBIGUO", "NON_PRESENTE_SULLA_PAGINA": "PROVE_INSUFFICIENTI",
+}
 
 
 def verdict_of(answer: Column) -> Column:
-    """The canonical verdict of an answer, or null for one that is not known."""
-    pairs = [F.lit(x) for pair in VERDICTS.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), F.trim(F.regexp_replace(F.lower(answer), r"[.!]+$", "")))
+    """The verdict that an answer means: itself, by another word for it, or by a beginning that can mean nothing else.
+
+    An answer that means none of the seven comes back in its written form; one that is null is empty.
+    """
+    said = F.regexp_replace(F.upper(F.trim(F.coalesce(answer, F.lit("")))), "[' ]", "_")
+    other = F.try_element_at(F.create_map(*[F.lit(x) for pair in SAME_VERDICT.items() for x in pair]), said)
+    begun = F.when(said.startswith("CONFLITTO_CON_LA_TRASC"), VERDICTS[2]).when(said.startswith("CONFLITTO_CON_IL_CONT"), VERDICTS[3])
+    return F.when(said.isin(*VERDICTS), said).otherwise(F.coalesce(other, begun, said))
 
 
 def label_of(code: Column, labels: dict[str, str]) -> Column:

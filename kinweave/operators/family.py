@@ -104,8 +104,8 @@ def same_sex_union(f: Family) -> DataFrame:
 
 
 def marrying_age(f: Family) -> DataFrame:
-    """Unions of a spouse under 13 or over 75."""
-    out = "year - husband_birth not between 13 and 75 or year - wife_birth not between 13 and 75"
+    """Documented unions of a spouse under 13 or over 75."""
+    out = "documented and (year - husband_birth not between 13 and 75 or year - wife_birth not between 13 and 75)"
     return f.couples().where(out).select("id")
 
 

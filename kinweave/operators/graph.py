@@ -88,12 +88,18 @@ def cycle_nodes(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         left = left.join(gone, left.a == gone.node, "left_anti").join(gone, F.col("b") == gone.node, "left_anti")
 
 
+#: Each hop is one more join of one plan.
+MOST_HOPS = 6
+
+
 def hops(edges: DataFrame, roots: DataFrame, depth: int, a: str = "a", b: str = "b") -> DataFrame:
-    """``root, node, depth``: what each root reaches in at most ``depth`` (0 to 6) steps, at its least depth."""
+    """``root, node, depth``: what each root reaches in at most ``depth`` steps, at its least depth; a depth beyond 0 to 6 is an error."""
+    if not 0 <= depth <= MOST_HOPS:
+        raise ValueError(f"depth {depth} is not in 0 to {MOST_HOPS}; components or pointer jumping reach farther")
     step = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node is not null and next is not null").distinct()
     front = roots.select(F.col("root"), F.col("root").alias("node")).where("root is not null").distinct().withColumn("depth", F.lit(0))
     found = front
-    for d in range(1, max(0, min(6, depth)) + 1):
+    for d in range(1, depth + 1):
         front = front.join(step, "node").select("root", F.col("next").alias("node")).distinct().withColumn("depth", F.lit(d))
         found = found.unionByName(front)
     return found.groupBy("root", "node").agg(F.min("depth").alias("depth"))

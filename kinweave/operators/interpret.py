@@ -187,10 +187,10 @@ def interpreted(rows: DataFrame, corrections: DataFrame) -> DataFrame:
     """The rows as they are to be understood, the readings beside them (``name_read``, ``surname_read``).
 
     In order: decided corrections (``id, field, value``; the value "?" takes an age away),
-    alternatives in brackets, titles, what follows a name, a father in the surname cell,
-    and cells that name no person.
+    alternatives in brackets, titles, what follows a name, a father in the surname cell (if
+    the corpus of ``rows`` reads the word as a given name), and cells that name no person.
     """
-    from kinweave.functions.text import alternatives, apposition, filiation, untitled
+    from kinweave.functions.text import alternatives, apposition, filiation, filiation_tail, untitled
     from kinweave.operators.facts import not_a_person
 
     fixed = corrections.groupBy("id").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"new_{f}") for f in ("name", "surname", "age")])
@@ -202,10 +202,12 @@ def interpreted(rows: DataFrame, corrections: DataFrame) -> DataFrame:
     out = out.withColumn("s", alternatives(F.col("surname"))).withColumns({"surname": F.col("s.main"), "surname_others": F.col("s.others")})
     out = out.withColumn("t", untitled(F.col("name"))).withColumns({"name": F.col("t.name"), "title": F.col("t.title")})
     out = out.withColumn("p", apposition(F.col("name"))).withColumns({"name": F.col("p.name"), "status": F.coalesce("status", "p.status")})
-    out = out.withColumn("f", filiation(F.col("surname"), F.lit(0.0))).withColumns({"surname": F.col("f.surname"), "patronymic": F.col("f.father")})
+    known = name_balance(rows).select(F.col("word").alias("tail"), F.col("balance").alias("tail_balance"))
+    out = out.withColumn("tail", F.lower(filiation_tail(F.col("surname")))).join(known, "tail", "left")
+    out = out.withColumn("f", filiation(F.col("surname"), F.col("tail_balance"))).withColumns({"surname": F.col("f.surname"), "patronymic": F.col("f.father")})
     nobody = not_a_person(F.col("name"))
     out = out.withColumns({"name": F.when(~nobody, F.col("name")), "nobody": nobody})
-    return out.drop("s", "t", "p", "f", "new_name", "new_surname", "new_age")
+    return out.drop("s", "t", "p", "f", "tail", "tail_balance", "new_name", "new_surname", "new_age")
 
 
 def neighbour_acts(acts: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ _CHECK_SQL = {
     "married_to_self": "SELECT id FROM unions WHERE husband = wife",
     "same_sex_union": "SELECT id FROM couples WHERE hs = ws",
     "written_twice": "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY least(husband, wife), greatest(husband, wife) ORDER BY id) AS n FROM unions) WHERE n > 1",
-    "marrying_age": "SELECT id FROM couples WHERE year - hb NOT BETWEEN 13 AND 75 OR year - wb NOT BETWEEN 13 AND 75",
+    "marrying_age": "SELECT id FROM couples WHERE documented AND (year - hb NOT BETWEEN 13 AND 75 OR year - wb NOT BETWEEN 13 AND 75)",
     "own_ancestor": "SELECT DISTINCT child FROM reach WHERE child = parent",
     "duplicate_spouses": """SELECT x.id FROM (SELECT id, s, min(year) AS year FROM (SELECT husband AS id, wife AS s, year FROM unions UNION ALL SELECT wife, husband, year FROM unions) GROUP BY id, s) x
       JOIN (SELECT id, s, min(year) AS year FROM (SELECT husband AS id, wife AS s, year FROM unions UNION ALL SELECT wife, husband, year FROM unions) GROUP BY id, s) y ON x.id = y.id AND x.s < y.s
@@ -281,7 +281,7 @@ SELECT root, node, min(depth) AS depth FROM w GROUP BY ALL
 
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``form, n`` of all words of the documents, written down once: the variants ask for them several times."""
-    counted = words(table(spark, sf_dir, "documents")).where(F.length("word") >= 4).groupBy(F.col("word").alias("form")).agg(F.count("*").alias("n"))
+    counted = words(table(spark, sf_dir, "documents")).groupBy(F.col("word").alias("form")).agg(F.count("*").alias("n"))
     return materialise(counted, "forms")
 
 

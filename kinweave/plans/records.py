@@ -97,14 +97,14 @@ FROM conversations GROUP BY role
 
 def canonical_form_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spellings that share a canonical form, and the one best attested."""
-    forms = words(table(spark, sf_dir, "documents")).where(F.length("word") >= 4).groupBy("word").agg(F.count("*").alias("n"))
+    forms = words(table(spark, sf_dir, "documents")).groupBy("word").agg(F.count("*").alias("n"))
     grouped = forms.withColumn("form", canonical(F.col("word"))).groupBy("form")
     best = F.max_by("word", F.struct("n", F.col("word")))
     return grouped.agg(F.count("*").alias("spellings"), F.sum("n").alias("n"), best.alias("best")).where("spellings > 1")
 
 
 CANONICAL_FORM_GROUPS = f"""
-WITH f AS (SELECT word, count(*) AS n FROM ({WORDS_SQL}) WHERE length(word) >= 4 GROUP BY word),
+WITH f AS (SELECT word, count(*) AS n FROM ({WORDS_SQL}) GROUP BY word),
 p AS (SELECT word, n, CASE WHEN length(w) > 4 AND left(w, 2) IN ('di', 'de', 'lo', 'la') THEN left(w, 1) || w[3:] ELSE w END AS s
   FROM (SELECT word, n, translate(word, '{MARKED}', '{PLAIN}') AS w FROM f)),
 c AS (SELECT word, n, array_to_string(list_filter(string_split(s, ''), lambda x, i: i = 1 OR x <> s[i - 1]), '') AS form FROM p)
@@ -174,7 +174,7 @@ SELECT page_id, coalesce(CAST(nullif(regexp_extract(url, '\b(1[78]\d{2}|19\d{2})
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words(table(spark, sf_dir, "documents")).where(F.length("word") >= 4).groupBy(F.col("word").alias("form")).agg(F.count("*").alias("n"))
+    return words(table(spark, sf_dir, "documents")).groupBy(F.col("word").alias("form")).agg(F.count("*").alias("n"))
 
 
 def similarity_join_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +183,7 @@ def similarity_join_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EDITS_SQL = f"""
-f AS (SELECT word AS form, count(*) AS n FROM ({WORDS_SQL}) WHERE length(word) >= 4 GROUP BY word),
+f AS (SELECT word AS form, count(*) AS n FROM ({WORDS_SQL}) GROUP BY word),
 d AS (SELECT form, i, left(form, i - 1) || form[i + 1:] AS key FROM (SELECT form, unnest(range(1, length(form) + 1)) AS i FROM f)),
 pairs AS (SELECT DISTINCT least(form, other) AS a, greatest(form, other) AS b FROM (
   SELECT d.form, f.form AS other FROM d JOIN f ON f.form = d.key UNION ALL SELECT x.form, y.form FROM d x JOIN d y ON x.key = y.key AND x.i = y.i AND x.form < y.form))
@@ -250,7 +250,7 @@ def benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def runs(rows: DataFrame, key: str) -> DataFrame:
-        listed = F.regexp_extract_all(F.lower("text"), F.lit(r"[a-zà-ÿ0-9]+"), F.lit(0))
+        listed = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
         rows = rows.select(key, listed.alias("w"))
         eight = F.transform(F.sequence(F.lit(0), F.size("w") - 8), lambda i: F.xxhash64(F.array_join(F.slice("w", i + 1, F.lit(8)), " ")))
         return rows.where(F.size("w") >= 8).select(key, F.explode(F.array_distinct(eight)).alias("run"))
@@ -265,7 +265,7 @@ def benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RUNS = """SELECT DISTINCT {k}, array_to_string(w[i:i + 7], ' ') AS run FROM (
-  SELECT {k}, w, unnest(range(1, len(w) - 6)) AS i FROM (SELECT {k}, regexp_extract_all(lower(text), '[a-zà-ÿ0-9]+') AS w FROM {t}) WHERE len(w) >= 8)"""
+  SELECT {k}, w, unnest(range(1, len(w) - 6)) AS i FROM (SELECT {k}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w FROM {t}) WHERE len(w) >= 8)"""
 
 BENCHMARK_CONTAMINATION = f"""
 WITH d AS ({_RUNS.format(k="doc_id", t="documents")}), b AS ({_RUNS.format(k="item_id", t="benchmark")})
