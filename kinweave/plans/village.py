@@ -133,13 +133,14 @@ def sexes_of_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _END = "CASE WHEN {p} IN ('nicola', 'andrea', 'luca') THEN 'M' WHEN {p} LIKE '%a' THEN 'F' WHEN {p} LIKE '%o' OR {p} LIKE '%i' THEN 'M' END"
-SEXES = f"""WITH {_VILLAGE}, p AS (SELECT id, role, status, trade, list_filter(string_split(lower(name), ' '), lambda x: x NOT IN ('di', 'de')) AS ps FROM m),
-e AS (SELECT id, role, unnest(ps) AS part, unnest(range(len(ps))) AS i FROM p),
-s AS (SELECT part, count(*) AS n, count(*) FILTER (role IN ('father', 'groom')) / count(*) AS men FROM e WHERE role IN ('father', 'groom', 'mother', 'bride') GROUP BY part),
-d AS (SELECT e.id, e.i, CASE WHEN coalesce(n, 0) >= 3 THEN coalesce(CASE WHEN men >= 0.85 THEN 'M' WHEN 1 - men >= 0.85 THEN 'F' END, CASE WHEN i = 0 THEN {_END.format(p="e.part")} END) ELSE {_END.format(p="e.part")} END AS said FROM e LEFT JOIN s USING (part)),
-n AS (SELECT id, arg_min(said, i) AS named FROM d WHERE said IS NOT NULL GROUP BY id)
-SELECT role, coalesce(CASE WHEN role IN ('father', 'groom') THEN 'M' WHEN role IN ('mother', 'bride') THEN 'F' END, CASE WHEN status = 'vedova' THEN 'F' END, named, CASE WHEN trade IN ('filatrice', 'levatrice') THEN 'F' END) AS sex, count(*) AS n
-FROM p LEFT JOIN n USING (id) GROUP BY ALL"""
+_SEX_OF = f"""sp AS (SELECT id, role, status, trade, list_filter(string_split(lower(name), ' '), lambda x: x NOT IN ('di', 'de')) AS ps FROM m),
+se AS (SELECT id, role, unnest(ps) AS part, unnest(range(len(ps))) AS i FROM sp),
+ss AS (SELECT part, count(*) AS n, count(*) FILTER (role IN ('father', 'groom')) / count(*) AS men FROM se WHERE role IN ('father', 'groom', 'mother', 'bride') GROUP BY part),
+sd AS (SELECT se.id, se.i, CASE WHEN coalesce(n, 0) >= 3 THEN coalesce(CASE WHEN men >= 0.85 THEN 'M' WHEN 1 - men >= 0.85 THEN 'F' END, CASE WHEN i = 0 THEN {_END.format(p="se.part")} END) ELSE {_END.format(p="se.part")} END AS said FROM se LEFT JOIN ss USING (part)),
+sn0 AS (SELECT id, arg_min(said, i) AS named FROM sd WHERE said IS NOT NULL GROUP BY id),
+sx AS (SELECT id, role, coalesce(CASE WHEN role IN ('father', 'groom') THEN 'M' WHEN role IN ('mother', 'bride') THEN 'F' END, CASE WHEN status = 'vedova' THEN 'F' END, named, CASE WHEN trade IN ('filatrice', 'levatrice') THEN 'F' END) AS sex
+FROM sp LEFT JOIN sn0 USING (id))"""
+SEXES = f"WITH {_VILLAGE}, {_SEX_OF} SELECT role, sex, count(*) AS n FROM sx GROUP BY ALL"
 
 
 def act_families(spark: SparkSession, sf_dir: str) -> DataFrame:

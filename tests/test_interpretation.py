@@ -121,10 +121,10 @@ def test_rows_read_twice(spark):
 
 
 def test_interpretation_of_cells(spark):
-    rows = spark.createDataFrame([(1, "Don Luigi", "Lella [Lela]", 30, None), (2, "Anna sua moglie", "Bo fu Michele", 20, None), (3, "padre ignoto", None, None, None)] + [(10 + i, "Michele", "Bo", 20, None) for i in range(5)], "id long, name string, surname string, age int, status string")
+    rows = spark.createDataFrame([(1, "Don Luigi", "Lella [Lela]", 30, None), (2, "Anna sua moglie", "Lella fu Michele", 20, None), (3, "padre ignoto", None, None, None)] + [(10 + i, "Michele", "Bo", 20, None) for i in range(5)], "id long, name string, surname string, age int, status string")
     fixes = spark.createDataFrame([(1, "age", "?"), (2, "name", "Rosa vedova")], "id long, field string, value string")
     got = [(r.name, r.surname, r.age, r.status, r.title, r.patronymic, r.name_read) for r in interpret.interpreted(rows, fixes).where("id < 10").orderBy("id").collect()]
-    assert got == [("Luigi", "Lella", None, None, "Don", None, "Don Luigi"), ("Rosa", "Bo", 20, "vedova", None, "Michele", "Anna sua moglie"), (None, None, None, None, None, None, "padre ignoto")]
+    assert got == [("Luigi", "Lella", None, None, "Don", None, "Don Luigi"), ("Rosa", "Lella", 20, "vedova", None, "Michele", "Anna sua moglie"), (None, None, None, None, None, None, "padre ignoto")]
 
 
 def test_corrections(spark):
