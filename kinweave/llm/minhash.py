@@ -271,8 +271,11 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, seed: i
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     feats = materialise(_features(docs, width, threshold, seed), "mh-features")
     some = feats.where("n > 0 and id is not null")
-    # A class is one set of shingles, whatever ids its texts have; numbers are fixed once written.
-    classes = materialise(some.groupBy("h", "g", "n").agg(F.min("id").alias("low")).withColumn("node", F.monotonically_increasing_id()), "mh-classes")
+    # A class is one set of shingles, whatever ids its texts have. Numbers follow the smallest ids, so
+    # that a band's centre is its first text, and are fixed once written.
+    classes = some.groupBy("h", "g", "n").agg(F.min("id").alias("low"))
+    classes = classes.repartitionByRange("low", "h", "g", "n").sortWithinPartitions("low", "h", "g", "n").withColumn("node", F.monotonically_increasing_id())
+    classes = materialise(classes, "mh-classes")
     reps = some.join(classes.withColumnRenamed("low", "id"), ["h", "g", "n", "id"]).dropDuplicates(["node"])
     reps = materialise(reps.select("node", F.col("id").alias("low"), "n", "h", "g", "sig", "keys"), "mh-reps")
 
