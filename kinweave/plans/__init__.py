@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("records", "relations", "families", "kin", "review", "archive", "village", "doubts")
+MODULES = ("records", "relations", "families", "kin", "review", "archive", "village", "doubts", "slips")
 
 
 def registered() -> dict[str, tuple]:
