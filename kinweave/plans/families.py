@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions.weights import age_gap
-from kinweave.operators import graph
+from kinweave.operators import graph, trees
 from kinweave.operators.family import CHECKS, Family, clean_parents, clean_unions, individuals, largest_families, own_ancestor, scorecard, signed_deltas, union_edges, within_span
 from kinweave.operators.family import linkage_metrics as metrics
 from kinweave.operators.resolve import resolve
@@ -279,6 +279,46 @@ SELECT root, node, min(depth) AS depth FROM w GROUP BY ALL
 """
 
 
+def family_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of everyone with a parent or a child: four generations up and four down, other parents and spouses."""
+    f = family(spark, sf_dir)
+    kept = materialise(clean_parents(f)[0].select("child", "parent"), "kept-parents")
+    return trees.family_tree(kept, f.unions, kept.select(F.col("parent").alias("root")).union(kept.select("child")), 4, 4).select("root", "node", "generation", "relation", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
+
+
+_KEPT = f"""{_FAMILY}, j AS (SELECT *, child_birth - parent_birth AS gap FROM linked),
+s AS (SELECT child, parent, row_number() OVER (PARTITION BY child, kind ORDER BY abs(coalesce(gap, 1000) - 30), parent) AS n FROM j
+  WHERE (kind = 'father') = (parent_sex = 'M') AND gap >= 13 AND gap <= CASE WHEN kind = 'mother' THEN 55 ELSE 75 END
+  AND NOT coalesce(child_birth > parent_death + CASE WHEN kind = 'father' THEN 1 ELSE 0 END, false)),
+e AS (SELECT DISTINCT parent, child FROM s WHERE n = 1)"""
+FAMILY_TREES = f"""
+WITH RECURSIVE {_KEPT}, roots AS (SELECT parent AS root FROM e UNION SELECT child FROM e),
+u(root, node, depth, path) AS (SELECT root, root, 0, [root] FROM roots UNION ALL SELECT root, parent, depth + 1, list_append(path, parent) FROM u JOIN e ON child = node WHERE depth < 4),
+d(root, node, depth, path) AS (SELECT root, root, 0, [root] FROM roots UNION ALL SELECT root, child, depth + 1, list_append(path, child) FROM d JOIN e ON parent = node WHERE depth < 4),
+b AS (SELECT root, node, -depth AS generation, CASE depth WHEN 0 THEN 0 ELSE 1 END AS rank, path FROM u UNION ALL SELECT root, node, depth, 2, path FROM d WHERE depth > 0),
+blood AS (SELECT root, node, arg_min(generation, (abs(generation), rank, path)) AS generation, arg_min(rank, (abs(generation), rank, path)) AS rank, arg_min(path, (abs(generation), rank, path)) AS path FROM b GROUP BY root, node),
+c AS (SELECT root, parent AS node, generation - 1 AS generation, 3 AS rank, list_append(path, parent) AS path FROM blood JOIN e ON child = node WHERE generation > 0 AND NOT EXISTS (SELECT 1 FROM blood o WHERE o.root = blood.root AND o.node = parent)),
+p AS (SELECT * FROM blood UNION ALL SELECT root, node, arg_min(generation, (abs(generation), path)), 3, arg_min(path, (abs(generation), path)) FROM c GROUP BY root, node),
+sides AS (SELECT husband AS a, wife AS b FROM unions WHERE husband <> wife UNION SELECT wife, husband FROM unions WHERE husband <> wife),
+w AS (SELECT root, b AS node, generation, list_append(path, b) AS path FROM p JOIN sides ON a = node WHERE NOT EXISTS (SELECT 1 FROM p o WHERE o.root = p.root AND o.node = b)),
+everyone AS (SELECT * FROM p UNION ALL SELECT root, node, arg_min(generation, (abs(generation), path)), 4, arg_min(path, (abs(generation), path)) FROM w GROUP BY root, node)
+SELECT root, node, generation, ['root', 'ancestor', 'descendant', 'co-parent', 'spouse'][rank + 1] AS relation, array_to_string(path, '>') AS path FROM everyone
+"""
+
+
+def children_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The children of everyone by birth, or by the year of their first act where a birth is not certain."""
+    f = family(spark, sf_dir)
+    first = f.mentions.groupBy(F.col("person").alias("id")).agg(F.min("year").alias("first"))
+    return trees.children_in_order(f.parents, f.people.select("id", F.when(F.col("certain"), F.col("birth")).alias("birth")).join(first, "id", "left"))
+
+
+CHILDREN_IN_ORDER = f"""
+WITH {_FAMILY}, l AS (SELECT DISTINCT child, parent FROM parents), y AS (SELECT p.id, coalesce(CASE WHEN certain THEN birth END, (SELECT min(year) FROM mentions m WHERE m.person = p.id)) AS year FROM people p)
+SELECT parent, child, row_number() OVER (PARTITION BY parent ORDER BY year NULLS LAST, child) AS place, (SELECT min(o.parent) FROM l o WHERE o.child = l.child AND o.parent <> l.parent) AS other FROM l LEFT JOIN y ON y.id = child
+"""
+
+
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``form, n`` of all words of the documents, written down once: the variants ask for them several times."""
     counted = words(table(spark, sf_dir, "documents")).groupBy(F.col("word").alias("form")).agg(F.count("*").alias("n"))
@@ -342,6 +382,8 @@ QUERIES = {
     "cleaned_parents": (cleaned_parents, CLEANED_PARENTS),
     "own_ancestors": (own_ancestors, OWN_ANCESTORS),
     "k_hop_tree": (k_hop_tree, K_HOP_TREE),
+    "family_trees": (family_trees, FAMILY_TREES),
+    "children_in_order": (children_in_order, CHILDREN_IN_ORDER),
     "weighted_edit": (weighted_edit, None),
     "variant_components": (variant_components, None),
     "variant_corrections": (variant_corrections, None),
