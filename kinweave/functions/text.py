@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -249,3 +251,35 @@ def joined(*columns: Column) -> Column:
     """The distinct values that are neither null nor blank, in order, with bars between."""
     kept = F.filter(F.transform(F.array(*columns), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
     return F.nullif(F.array_join(F.array_distinct(kept), " | "), F.lit(""))
+
+
+#: Readings that say there is none, marks of doubt that no name bears, and how many words a name may have.
+ABSENT = r"(?iu)^\s*(?:nulla|niente|nessun[oa]?|vuot[oa]|assente|mancante|illeggibile|in\s?bianco|n\.?d\.?|[-–—]+|\?+)\s*$|^\s*non\s+(?:presente|indicat[oa]|specificat[oa]|leggibile|riportat[oa]|c['’]?e)\b"
+NO_NAME = r"(?iu)[()\[\]?\"«»]|\boppure\b|\bnel testo\b|\bignot[oa]\b|\bnessun"
+HONOURS = r"(?iu)^(don|donna|signor[ae]?|sig\.?|mastro|maestro)\b"
+MOST_WORDS = 3
+#: An explanation that admits to another act or page, and an act it names.
+ELSEWHERE = r"(?iu)att[oi]\s+(?:n\.?\s*\d+\s+)?(?:precedent|success|seguent|anterior|prima|dopo)|(?:fine|coda|inizio|principio|testa)\s+dell['’]att[oa]\s+(?:precedent|success|seguent)|pagina\s+(?:precedent|success|seguent)"
+ACT_NAMED = r"(?iu)att[oi]\s+(?:n(?:umero)?\.?\s*)?([0-9]+|[a-zàèéìòù]+)"
+
+
+def is_reading(value: Column) -> Column:
+    """Whether a proposed value is something a page can say, and not a word for nothing; null and blank are none."""
+    return F.coalesce((F.trim(value) != "") & ~F.regexp_like(value, F.lit(ABSENT)), F.lit(False))
+
+
+def name_shaped(value: Column) -> Column:
+    """Whether a value can be a name or a surname by its form: no marks of doubt, no title, one to three words."""
+    words = F.filter(F.split(F.trim(value), r"\s+"), lambda w: w != "")
+    return F.coalesce(~value.rlike(NO_NAME) & ~F.trim(value).rlike(HONOURS) & F.size(words).between(1, MOST_WORDS), F.lit(False))
+
+
+def looks_elsewhere(explanation: Column, act: Column, number: Callable[[Column], Column]) -> Column:
+    """Whether an explanation owns that what it read stands outside the act: by the words for it, or by naming an act of another number.
+
+    ``number`` reads the number of an act (``weights.act_number``); an act without one is compared with none.
+    """
+    named = F.transform(F.regexp_extract_all(explanation, F.lit(ACT_NAMED), F.lit(1)), number)
+    mine = number(act.cast("string"))
+    other = mine.isNotNull() & F.exists(named, lambda n: F.coalesce(n != mine, F.lit(False)))
+    return F.coalesce(explanation.rlike(ELSEWHERE) | other, F.lit(False))

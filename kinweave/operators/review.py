@@ -150,3 +150,37 @@ def decision_context(people: DataFrame, kin: DataFrame, anomalies: DataFrame, si
     listed = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
     relatives, doubts, alike = kin.groupBy("id").agg(listed("relation", "other").alias("kin")), anomalies.groupBy("id").agg(listed("kind", "detail").alias("doubts")), similar.groupBy("id").agg(listed("similarity", "other").alias("similar"))
     return people.join(relatives, "id", "left").join(doubts, "id", "left").join(alike, "id", "left")
+
+
+#: The kinds of anomaly that judging can settle; a date is settled by looking at the page.
+ARBITRATED = ("DUPLICATE_PERSON", "POSSIBLE_HOMONYM", "MARITAL_ANOMALY", "IDENTITY_ANOMALY")
+
+
+def judged_sets(log: DataFrame) -> DataFrame:
+    """``people``: the sets of people that anyone but the algorithm has decided on, from the JSON lists of a log; lists that cannot be read are left out."""
+    people = F.filter(F.from_json("entities", "array<bigint>"), lambda x: x.isNotNull())
+    return log.where("decider <> 'algorithm'").select(F.array_sort(F.array_distinct(people)).alias("people")).where(F.size("people") > 0).distinct()
+
+
+def arbiter_cases(cases: DataFrame, judged: DataFrame, *, inside: bool = False, kind: str | None = None, most: int | None = None) -> DataFrame:
+    """The cases to put before an arbiter, by priority: of the kinds that judging settles, whose people were not judged together before.
+
+    ``cases``: ``id, kind, people, priority``; ``judged``: ``people`` (:func:`judged_sets`). A
+    case is left out if just its set of people was judged, or, with ``inside``, if a judged
+    set holds all of them: then a case is asked for by the one of its people that stands in
+    the fewest judged sets, so that no set is met for a person it merely shares. The order
+    of people, repeats and nulls among them do not count; a case without people stays.
+    """
+    kinds = F.col("kind") == kind if kind else F.col("kind").isin(*ARBITRATED)
+    wanted = cases.where(kinds).withColumn("_set", F.array_sort(F.array_distinct(F.filter("people", lambda x: x.isNotNull()))))
+    if inside:
+        members = judged.select(F.col("people").alias("_held"), F.explode("people").alias("_one"))
+        often = members.groupBy("_one").agg(F.count("*").alias("_n"))
+        asked = wanted.where(F.size("_set") > 0).select("_set").distinct()
+        each = asked.select("_set", F.explode("_set").alias("_one")).join(often, "_one", "left")
+        rarest = each.groupBy("_set").agg(F.min(F.struct("_n", "_one"))["_one"].alias("_one"), F.bool_and(F.col("_n").isNotNull()).alias("_all")).where("_all")
+        done = rarest.join(members, "_one").where(F.size(F.array_except("_set", "_held")) == 0).select("_set").distinct()
+    else:
+        done = judged.select(F.col("people").alias("_set")).distinct()
+    out = wanted.join(done, "_set", "left_anti").select(*cases.columns).orderBy(F.desc("priority"), "id")
+    return out if most is None else out.limit(most)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.functions.text import ABSENT, ACT_NAMED, ELSEWHERE, HONOURS, NO_NAME, is_reading, looks_elsewhere, name_shaped
+from kinweave.functions.weights import act_number
 from kinweave.operators import review
 from kinweave.plans.records import _EDITS_SQL, WORDS_SQL, variant_dominance, words
+from kinweave.plans.village import _VILLAGE, mentions, pick, pick_sql, quoted
 from kinweave.sources.tables import table
 
 
@@ -52,7 +55,59 @@ WHERE len(list_filter(string_split(lower(p_name), ' '), lambda w: starts_with(w,
   OR len(list_filter(string_split(lower(p_name), ' '), lambda w: starts_with(w, 'redwid') OR starts_with(w, 'rewid'))) > 0
 """
 
+def _cases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Cases (people of orders whose keys are close) and a log of decisions on people of wider or equal ranges of keys."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    blocks = lambda shift, size: orders.groupBy(F.floor((F.col("o_orderkey") + shift) / size).alias("block"))
+    people = F.collect_set("o_custkey")
+    cases = blocks(4, 8).agg(people.alias("people"), F.max("o_totalprice").alias("priority"))
+    kind = F.get(F.array(*map(F.lit, (*review.ARBITRATED, "DATE_ANOMALY"))), (F.col("block") % 5).cast("int"))
+    wide = blocks(0, 32).agg(F.to_json(people).alias("entities")).select("entities", F.when(F.col("block") % 3 == 0, "algorithm").when(F.col("block") % 3 == 1, "anna").alias("decider"))
+    same = blocks(4, 8).agg(F.to_json(F.reverse(people)).alias("entities")).where("block % 7 = 0").select("entities", F.lit("anna").alias("decider"))
+    return cases.select(F.col("block").alias("id"), kind.alias("kind"), "people", "priority"), wide.unionByName(same)
+
+
+def arbiter_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases whose people nobody judged together before, and whether all of them stand inside a set that was judged."""
+    cases, log = _cases(spark, sf_dir)
+    judged = review.judged_sets(log)
+    left = review.arbiter_cases(cases, judged)
+    outside = review.arbiter_cases(cases, judged, inside=True).select("id", F.lit(False).alias("inside"))
+    return left.join(outside, "id", "left").select("id", "kind", F.size("people").alias("people"), "priority", F.coalesce("inside", F.lit(True)).alias("inside"))
+
+
+ARBITER_CASES = """
+WITH c AS (SELECT (o_orderkey + 4) // 8 AS id, list(DISTINCT o_custkey) AS people, max(o_totalprice) AS priority FROM orders GROUP BY 1),
+w AS (SELECT o_orderkey // 32 AS block, list(DISTINCT o_custkey) AS people FROM orders GROUP BY 1),
+j AS (SELECT people FROM w WHERE block % 3 = 1 UNION ALL SELECT people FROM c WHERE id % 7 = 0)
+SELECT id, ['DUPLICATE_PERSON', 'POSSIBLE_HOMONYM', 'MARITAL_ANOMALY', 'IDENTITY_ANOMALY'][id % 5 + 1] AS kind, CAST(len(people) AS INTEGER) AS people, priority, EXISTS (SELECT 1 FROM j WHERE list_has_all(j.people, c.people)) AS inside
+FROM c WHERE id % 5 < 4 AND NOT EXISTS (SELECT 1 FROM j WHERE list_sort(j.people) = list_sort(c.people))
+"""
+
+
+#: What proposals derived from the acts say besides the name, and how they explain themselves; # stands for the act, ## for the next one.
+SAID = ("nulla", "non presente (e' il neonato)", "—", "Donna @", "@ oppure Rosa", "@ [?]", "@", "@ Di Mar Lella Tilli", "  ", "in bianco", "@ Rosa")
+BECAUSE = ("si legge bene", "fine dell'atto precedente", "come nell'atto n. #", "come nell'atto n. ##", "alla pagina seguente", "atto numero sette", "l'atto # seguente", "")
+
+
+def vetoed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proposed readings of all rows of the acts: whether they are readings, have the form of a name, and look at another act."""
+    rows = mentions(spark, sf_dir).select("id", "act", "name")
+    value = F.replace(pick(SAID, F.col("id")), F.lit("@"), F.coalesce("name", F.lit("")))
+    act = F.col("act").cast("string")
+    because = F.replace(F.replace(pick(BECAUSE, F.floor(F.col("id") / 11)), F.lit("##"), (F.col("act") + 1).cast("string")), F.lit("#"), act)
+    judged = rows.select("id", value.alias("value"), because.alias("because"), "act")
+    return judged.select("id", "value", is_reading(F.col("value")).alias("reading"), name_shaped(F.col("value")).alias("name_shaped"), looks_elsewhere(F.col("because"), F.col("act"), act_number).alias("elsewhere"))
+
+
+VETOED_READINGS = f"""WITH {_VILLAGE}, p AS (SELECT id, act, replace({pick_sql(tuple(s.replace("'", "''") for s in SAID), "id")}, '@', coalesce(name, '')) AS value, replace(replace({pick_sql(tuple(s.replace("'", "''") for s in BECAUSE), "id // 11")}, '##', CAST(act + 1 AS VARCHAR)), '#', CAST(act AS VARCHAR)) AS because FROM m)
+SELECT id, value, trim(value) <> '' AND NOT regexp_matches(value, {quoted(ABSENT.replace("(?iu)", "(?i)"))}) AS reading,
+  NOT regexp_matches(value, {quoted(NO_NAME.replace("(?iu)", "(?i)"))}) AND NOT regexp_matches(trim(value), {quoted(HONOURS.replace("(?iu)", "(?i)"))}) AND len(list_filter(string_split_regex(trim(value), '\\s+'), lambda w: w <> '')) BETWEEN 1 AND 3 AS name_shaped,
+  regexp_matches(because, {quoted(ELSEWHERE.replace("(?iu)", "(?i)"))}) OR len(list_filter(regexp_extract_all(because, {quoted(ACT_NAMED.replace("(?iu)", "(?i)"))}, 1), lambda x: coalesce(coalesce(TRY_CAST(x AS BIGINT), CASE x WHEN 'sette' THEN 7 END) <> act, false))) > 0 AS elsewhere FROM p"""
+
 QUERIES = {
+    "arbiter_cases": (arbiter_cases, ARBITER_CASES),
+    "vetoed_readings": (vetoed_readings, VETOED_READINGS),
     "index_disagreement": (index_disagreement, INDEX_DISAGREEMENT),
     "glossary_audit": (glossary_audit, GLOSSARY_AUDIT),
     "prefix_search": (prefix_search, PREFIX_SEARCH),
