@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -114,34 +115,66 @@ def word_index(docs: DataFrame, key: str, *columns: str) -> DataFrame:
     return docs.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("word")).groupBy("word", key).agg(F.count("*").alias("n"))
 
 
-def search(index: DataFrame, boosts: DataFrame, question: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """``key, score`` of what answers a question, best first, and one row ``outside`` of the matches without a link.
-
-    Every term begins a word, in one of the ways of ``search_terms``. BM25 (k1 1.2, b .75) plus
-    1.5 and 3 times the logarithm (to 10) of one more than ``mentions`` and ``links`` of
-    ``boosts``; only rows with links are ranked.
-    """
-    sizes = index.groupBy(key).agg(F.sum("n").alias("dl"))
-    total = F.broadcast(sizes.agg(F.count("*").alias("docs"), F.avg("dl").alias("avgdl")))  # one row
+def _ranked(hits_of: Callable[[str], DataFrame], total: DataFrame, empty: DataFrame, boosts: DataFrame, question: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """The scores of a question, from what answers one term (``key, tf, dl``) and the corpus in one row (``docs, avgdl``)."""
+    total = F.broadcast(total)  # one row
     scored = None
     for way in search_terms(question):
         hits = None
         for i, term in enumerate(way):
-            one = index.where(F.col("word").startswith(term)).groupBy(key).agg(F.sum("n").alias("tf"))
+            one = hits_of(term)
             df = F.broadcast(one.agg(F.count("*").alias("df")))  # one row
-            part = one.crossJoin(df).join(sizes, key).crossJoin(total)
+            part = one.crossJoin(df).crossJoin(total)
             weight = F.ln(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * 2.2 / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("dl") / F.col("avgdl")))
             part = part.select(key, weight.alias(f"w{i}"))
             hits = part if hits is None else hits.join(part, key)
         rows = hits.select(key, reduce(lambda a, b: a + b, [F.col(f"w{i}") for i in range(len(way))]).alias("bm25"))
         scored = rows if scored is None else scored.unionByName(rows)
     if scored is None:
-        scored = sizes.select(key, F.lit(0.0).alias("bm25")).where("false")
+        scored = empty.select(key, F.lit(0.0).alias("bm25")).where("false")
     best = scored.groupBy(key).agg(F.max("bm25").alias("bm25")).join(boosts.select(key, "mentions", "links"), key)
     score = F.round(F.col("bm25") + 1.5 * F.log10(1 + F.col("mentions")) + 3 * F.log10(1 + F.col("links")), 6)
     return best.where("links > 0").select(key, score.alias("score")).orderBy(F.desc("score"), key), best.where("links = 0").agg(F.count("*").alias("outside"))
 
 
+def search(index: DataFrame, boosts: DataFrame, question: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """``key, score`` of what answers a question, best first, and one row ``outside`` of the matches without a link.
+
+    Every term begins a word, in one of the ways of ``search_terms``. BM25 (k1 1.2, b .75) plus
+    1.5 and 3 times the logarithm (to 10) of one more than ``mentions`` and ``links`` of
+    ``boosts``; only rows with links are ranked. The whole index is read; :func:`stored_search`
+    reads the words of a question only.
+    """
+    sizes = index.groupBy(key).agg(F.sum("n").alias("dl"))
+    hits = lambda term: index.where(F.col("word").startswith(term)).groupBy(key).agg(F.sum("n").alias("tf")).join(sizes, key)
+    return _ranked(hits, sizes.agg(F.count("*").alias("docs"), F.avg("dl").alias("avgdl")), sizes, boosts, question, key)
+
+
+#: Letters of a word that name its folder. Terms have two letters at least, so that one folder holds all of a term's words.
+HEAD = 2
+
+
+def store_postings(index: DataFrame, key: str, path: str) -> None:
+    """Writes a posting table (:func:`word_index`) for questions: by the first letters of the words, in ranges of words, with the length of each document.
+
+    A head with very many postings is cut into ranges of words and keys; words lie in order
+    inside a file, so that Parquet's bounds leave out what a term cannot be in. The
+    corpus's figures are a table of one row beside it. Words of one letter answer no question
+    and are left out; they count in the lengths. An existing folder is an error.
+    """
+    sizes = index.groupBy(key).agg(F.sum("n").alias("dl"))
+    sizes.agg(F.count("*").alias("docs"), F.avg("dl").alias("avgdl")).write.parquet(f"{path}/corpus")
+    rows = index.where(F.char_length("word") >= HEAD).join(sizes, key).withColumn("head", F.hex(F.substring("word", 1, HEAD)))
+    rows.repartitionByRange("head", "word", key).sortWithinPartitions("head", "word", key).write.partitionBy("head").parquet(f"{path}/postings")
+
+
+def stored_search(spark: SparkSession, path: str, boosts: DataFrame, question: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """The answer of :func:`search` from postings written by :func:`store_postings`: only the folders of the question's terms are read."""
+    postings = spark.read.parquet(f"{path}/postings")
+    hits = lambda term: postings.where((F.col("head") == F.hex(F.lit(term[:HEAD]))) & F.col("word").startswith(term)).groupBy(key).agg(F.sum("n").alias("tf"), F.max("dl").alias("dl"))
+    return _ranked(hits, spark.read.parquet(f"{path}/corpus"), postings, boosts, question, key)
+
+
 def decision_context(people: DataFrame, kin: DataFrame, anomalies: DataFrame, similar: DataFrame) -> DataFrame:
     """One nested row a person: kin, open anomalies and similar people, each sorted, for whoever decides.
 

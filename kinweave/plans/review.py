@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from kinweave.functions.weights import act_number
 from kinweave.operators import review
 from kinweave.plans.records import _EDITS_SQL, WORDS_SQL, variant_dominance, words
 from kinweave.plans.village import _VILLAGE, mentions, pick, pick_sql, quoted
+from kinweave.session import working_dir
 from kinweave.sources.tables import table
+from kinweave.streaming.orphans import run_attaching
 
 
 def index_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +59,49 @@ WHERE len(list_filter(string_split(lower(p_name), ' '), lambda w: starts_with(w,
   OR len(list_filter(string_split(lower(p_name), ' '), lambda w: starts_with(w, 'redwid') OR starts_with(w, 'rewid'))) > 0
 """
 
+def stored_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that answer "red wid", from stored postings of all their names: those returned at least once, best first."""
+    base = f"{working_dir(spark)}/kinweave/postings-{uuid.uuid4().hex}"
+    parts, lines = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    review.store_postings(review.word_index(parts, "p_partkey", "p_name"), "p_partkey", base)
+    boosts = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("mentions"), F.count_if(F.col("l_returnflag") == "R").alias("links"))
+    return review.stored_search(spark, base, boosts, "red wid", "p_partkey")[0]
+
+
+def _way_sql(*terms: str) -> str:
+    parts = [
+        f"(SELECT p_partkey, ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS w FROM (SELECT p_partkey, count(*) AS tf, count(*) OVER () AS df FROM w WHERE starts_with(word, '{t}') GROUP BY p_partkey) JOIN d USING (p_partkey), c) t{i}"
+        for i, t in enumerate(terms)
+    ]
+    return f"SELECT t0.p_partkey, {' + '.join(f't{i}.w' for i in range(len(terms)))} AS bm25 FROM " + " JOIN ".join([parts[0], *[f"{p} ON t{i}.p_partkey = t0.p_partkey" for i, p in enumerate(parts[1:], 1)]])
+
+
+STORED_SEARCH = f"""
+WITH w AS (SELECT p_partkey, unnest(regexp_extract_all(lower(p_name), '[\\p{{L}}\\p{{N}}]+')) AS word FROM part), d AS (SELECT p_partkey, count(*) AS dl FROM w GROUP BY 1), c AS (SELECT count(*) AS docs, avg(dl) AS avgdl FROM d),
+b AS (SELECT l_partkey AS p_partkey, count(*) AS mentions, count(*) FILTER (l_returnflag = 'R') AS links FROM lineitem GROUP BY 1),
+s AS ({_way_sql("red", "wid")} UNION ALL {_way_sql("redwid")} UNION ALL {_way_sql("rewid")})
+SELECT p_partkey, round(max(bm25) + 1.5 * log10(1 + any_value(mentions)) + 3 * log10(1 + any_value(links)), 6) AS score FROM s JOIN b USING (p_partkey) WHERE links > 0 GROUP BY p_partkey
+"""
+
+
+def late_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions (order lines sent back) and records (orders) in one stream of several batches: each decision with the record it was waiting for."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    records = orders.select(F.lit("row").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("person"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("come"))
+    asked = lines.select(F.lit("decision").alias("kind"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.col("l_partkey").alias("person"), F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("come"))
+    base = f"{working_dir(spark)}/kinweave/late-{uuid.uuid4().hex}"
+    for season in range(3):  # three files' worth of arrivals, each a batch of the stream
+        records.unionByName(asked).where((F.col("come") - 1) % 3 == season).coalesce(8).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{base}/in").schema).option("maxFilesPerTrigger", 8).parquet(f"{base}/in")
+    return run_attaching(stream, ["person", "year"], f"{base}/out").select(F.col("id").alias("decision"), "subject")
+
+
+LATE_DECISIONS = """
+WITH k AS (SELECT o_custkey AS person, year(o_orderdate) AS year, min(o_orderkey) AS subject FROM orders GROUP BY 1, 2)
+SELECT l_orderkey * 8 + l_linenumber AS decision, min(subject) AS subject FROM lineitem LEFT JOIN k ON person = l_partkey AND year = year(l_shipdate) WHERE l_returnflag = 'R' GROUP BY 1
+"""
+
+
 def _cases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Cases (people of orders whose keys are close) and a log of decisions on people of wider or equal ranges of keys."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -106,6 +153,8 @@ SELECT id, value, trim(value) <> '' AND NOT regexp_matches(value, {quoted(ABSENT
   regexp_matches(because, {quoted(ELSEWHERE.replace("(?iu)", "(?i)"))}) OR len(list_filter(regexp_extract_all(because, {quoted(ACT_NAMED.replace("(?iu)", "(?i)"))}, 1), lambda x: coalesce(coalesce(TRY_CAST(x AS BIGINT), CASE x WHEN 'sette' THEN 7 END) <> act, false))) > 0 AS elsewhere FROM p"""
 
 QUERIES = {
+    "stored_search": (stored_search, STORED_SEARCH),
+    "late_decisions": (late_decisions, LATE_DECISIONS),
     "arbiter_cases": (arbiter_cases, ARBITER_CASES),
     "vetoed_readings": (vetoed_readings, VETOED_READINGS),
     "index_disagreement": (index_disagreement, INDEX_DISAGREEMENT),
