@@ -14,22 +14,25 @@ from kinweave.session import materialise
 
 
 def one_edit_keys(form: Column) -> Column:
-    """The form and all it becomes by leaving one character out: forms one edit apart share one."""
+    """Hashes of the form and of all it becomes by leaving one character out: forms one edit apart share one."""
     cut = lambda i: F.concat(F.substring(form, F.lit(1), i - 1), F.substring(form, i + 1, F.char_length(form)))
-    shorter = F.transform(F.sequence(F.lit(1), F.char_length(form)), cut)
-    return F.array_distinct(F.concat(F.array(form), shorter))
+    shorter = F.transform(F.sequence(F.lit(1), F.char_length(form)), lambda i: F.xxhash64(cut(i)))
+    return F.array_distinct(F.concat(F.array(F.xxhash64(form)), shorter))
 
 
 def one_edit_pairs(forms: DataFrame, form: str = "form") -> DataFrame:
     """``a, b, distance`` with ``a < b`` of all distinct forms at Levenshtein distance 1.
 
     An equi-join on shared deletions: a key is shared by few forms (an alphabet's worth
-    for each place), so no bucket grows with the table. Null and empty forms match nothing.
+    for each place), so no bucket grows with the table; what two keys' hashes have in common
+    by chance falls to the distance. The keys are a form's length times its rows, which the
+    planner's estimate of a small table of forms does not see, so both sides are shuffled and
+    none is sent whole through the driver. Null and empty forms match nothing.
     """
     keyed = forms.where(F.col(form).isNotNull() & (F.col(form) != "")).select(F.col(form).alias("a")).distinct()
     keyed = keyed.withColumn("key", F.explode(one_edit_keys(F.col("a"))))
-    pairs = keyed.join(keyed.withColumnRenamed("a", "b"), "key").where("a < b").select("a", "b").distinct()
-    return pairs.withColumn("distance", F.levenshtein("a", "b")).where("distance = 1")
+    pairs = keyed.hint("merge").join(keyed.withColumnRenamed("a", "b"), "key").where("a < b").select("a", "b")
+    return pairs.withColumn("distance", F.levenshtein("a", "b", 1)).where("distance = 1").distinct()
 
 
 #: A shard is walked with so many asked forms at a time, and one with more forms than this is split.

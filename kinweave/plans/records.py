@@ -197,7 +197,8 @@ def variant_dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = materialise(_counts(spark, sf_dir), "word-counts")
     pairs = one_edit_pairs(counts)
     both = pairs.select("a", "b").union(pairs.select("b", "a"))
-    seen = both.join(counts.select(F.col("form").alias("a"), F.col("n").alias("n")), "a").join(counts.select(F.col("form").alias("b"), F.col("n").alias("target_n")), "b")
+    # A form is a few bytes on disk and many in a task: the counts are shuffled, not sent whole through the driver.
+    seen = both.hint("merge").join(counts.select(F.col("form").alias("a"), F.col("n").alias("n")), "a").hint("merge").join(counts.select(F.col("form").alias("b"), F.col("n").alias("target_n")), "b")
     best = seen.where("target_n >= 4 * n").groupBy(F.col("a").alias("form"), "n").agg(F.max(F.struct("target_n", "b")).alias("t"))
     return best.select("form", "n", F.col("t.b").alias("target"), F.col("t.target_n").alias("target_n"))
 
