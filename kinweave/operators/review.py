@@ -21,18 +21,19 @@ def glossary_audit(tokens: DataFrame, glossary: DataFrame, least: int = 3) -> Da
 
     ``tokens``: ``doc_id, word`` (repeats count); ``glossary``: ``form, target``. An entry is
     suspect if both words stand together in at least ``least`` documents, or if the form is
-    the commoner. Each document is read once for the words that the glossary names.
+    the commoner. Each document is read once for the words that the glossary names. The
+    glossary grows with the words, so it is shuffled, never sent whole through the driver.
     """
     listed = glossary.select("form", "target").distinct()
     named = listed.select(F.explode(F.array("form", "target")).alias("word")).distinct()
-    used = tokens.join(named, "word").groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    used = tokens.hint("merge").join(named, "word").groupBy("doc_id", "word").agg(F.count("*").alias("n"))
     totals = used.groupBy("word").agg(F.sum("n").alias("n"))
-    pairs = listed.join(used.select("doc_id", F.col("word").alias("form")), "form").join(used.select("doc_id", F.col("word").alias("target")), ["doc_id", "target"])
+    pairs = listed.hint("merge").join(used.select("doc_id", F.col("word").alias("form")), "form").hint("merge").join(used.select("doc_id", F.col("word").alias("target")), ["doc_id", "target"])
     together = pairs.groupBy("form", "target").agg(F.count("*").alias("together"))
     out = (
-        listed.join(together, ["form", "target"], "left")
-        .join(totals.select(F.col("word").alias("form"), F.col("n").alias("form_n")), "form")
-        .join(totals.select(F.col("word").alias("target"), F.col("n").alias("target_n")), "target")
+        listed.hint("merge").join(together, ["form", "target"], "left")
+        .hint("merge").join(totals.select(F.col("word").alias("form"), F.col("n").alias("form_n")), "form")
+        .hint("merge").join(totals.select(F.col("word").alias("target"), F.col("n").alias("target_n")), "target")
         .select("form", "target", F.coalesce("together", F.lit(0)).alias("together"), "form_n", "target_n")
     )
     return out.where((F.col("together") >= least) | (F.col("form_n") > F.col("target_n")))
