@@ -14,16 +14,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     The component is its smallest node. Each round takes the smallest label among the
     neighbours and then jumps to that label's own label, so that stars settle in two
     rounds and long paths in about the logarithm of their length. Null ends and loops
-    are left out; repeated edges do no harm; an empty table gives an empty table.
+    are left out; repeated edges do no harm; an empty table gives an empty table. Labels
+    are shuffled in every round, never sent whole through the driver.
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
     both = materialise(pairs.union(pairs.select("b", "a")).distinct(), "cc-edges")
     labels = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "cc-labels")
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("m"))
-        lower = labels.join(near, labels.node == near.a).select("node", F.least("component", "m").alias("c"), F.col("component").alias("was"))
+        near = both.hint("merge").join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("m"))
+        lower = labels.hint("merge").join(near, labels.node == near.a).select("node", F.least("component", "m").alias("c"), F.col("component").alias("was"))
         root = labels.select(F.col("node").alias("c"), F.col("component").alias("root"))
-        fresh = materialise(lower.join(root, "c", "left").select("node", F.least("c", "root").alias("component"), "was"), "cc-labels")
+        fresh = materialise(lower.hint("merge").join(root, "c", "left").select("node", F.least("c", "root").alias("component"), "was"), "cc-labels")
         changed = fresh.where("component <> was").limit(1).count()
         labels = fresh.select("node", "component")
         if not changed:
@@ -109,10 +110,11 @@ def resolve_chains(mapping: DataFrame, source: str = "source", target: str = "ta
     """``source, target`` with chains followed to their end (a to b, b to c: a to c) by pointer jumping.
 
     Each source has one target. What runs into a cycle ends at the cycle's smallest member.
+    Chains are shuffled in every round, never sent whole through the driver.
     """
     now = materialise(mapping.select(F.col(source).alias("s"), F.col(target).alias("t"), F.col(source).alias("low")), "chains")
     for _ in range(max(1, now.count()).bit_length() + 1):  # each jump doubles the steps taken
         after = now.select(F.col("s").alias("t"), F.col("t").alias("t2"), F.col("low").alias("low2"))
-        now = materialise(now.join(after, "t", "left").select("s", F.coalesce("t2", "t").alias("t"), F.least("low", F.coalesce("low2", "low")).alias("low")), "chains")
+        now = materialise(now.hint("merge").join(after, "t", "left").select("s", F.coalesce("t2", "t").alias("t"), F.least("low", F.coalesce("low2", "low")).alias("low")), "chains")
     rounds = now.select(F.col("s").alias("t"), F.col("low").alias("least"))  # t is still a source only on a cycle
-    return now.join(rounds, "t", "left").select(F.col("s").alias(source), F.coalesce("least", "t").alias(target))
+    return now.hint("merge").join(rounds, "t", "left").select(F.col("s").alias(source), F.coalesce("least", "t").alias(target))
