@@ -16,8 +16,18 @@ from kinweave.session import materialise
 
 
 def mutual_best(scored: DataFrame, threshold: float, margin: float) -> DataFrame:
-    """``a, b, logit`` of the pairs in which each is the other's best, by ``margin`` over the next."""
+    """``a, b, logit`` of the pairs in which each is the other's best, by ``margin`` over the next.
+
+    Without a margin the next does not count, and each one's best is gathered where its pairs
+    are found, so that only the best of a task are shuffled.
+    """
     ok = scored.where(F.col("logit") >= threshold).select("a", "b", "logit")
+    if margin <= 0:
+        # Of equal logits the smallest pair; read from both ends without doubling the pairs' rows in a shuffle.
+        sides = ok.select("logit", "a", "b", F.explode(F.array("a", "b")).alias("me"))
+        first = F.min(F.struct((-F.col("logit")).alias("less"), "a", "b")).alias("first")
+        held = sides.groupBy("me").agg(first).select("first.a", "first.b", (-F.col("first.less")).alias("logit"))
+        return held.groupBy("a", "b").agg(F.count("*").alias("ends"), F.max("logit").alias("logit")).where("ends = 2").drop("ends")
     sides = ok.select(F.col("a").alias("me"), F.col("b").alias("you"), "logit").unionByName(ok.select(F.col("b").alias("me"), F.col("a").alias("you"), "logit"))
     order = Window.partitionBy("me").orderBy(F.desc("logit"), F.least("me", "you"), F.greatest("me", "you"))
     ranked = sides.withColumns({"place": F.row_number().over(order), "next": F.lead("logit").over(order)})

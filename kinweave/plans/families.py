@@ -359,11 +359,12 @@ def resolved_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         # Neighbouring balance bands of one nation and segment meet; a band is as wide as the widest gap.
         band = F.floor(F.col("low") / 60)
         one = entities.where("nation = nation2 and segment = segment2").withColumn("band", band)
-        left = one.select(F.col("entity").alias("a"), "nation", "segment", F.col("low").alias("la"), F.col("high").alias("ha"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+        left = one.select(F.col("entity").alias("a"), "nation", "segment", F.col("low").alias("la"), F.col("high").alias("ha"), F.col("band").alias("own"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
         right = one.select(F.col("entity").alias("b"), "nation", "segment", "band", F.col("low").alias("lb"), F.col("high").alias("hb"))
-        pairs = left.join(right, ["nation", "segment", "band"]).where("a <> b and greatest(ha, hb) - least(la, lb) <= 60")
+        # Two of one band meet once, and two of neighbouring bands once: no pair is there twice, none is shuffled.
+        pairs = left.hint("merge").join(right, ["nation", "segment", "band"]).where("(a < b or (a <> b and own <> band)) and greatest(ha, hb) - least(la, lb) <= 60")
         gap = F.abs((F.col("la") + F.col("ha")) / 2 - (F.col("lb") + F.col("hb")) / 2)
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.round(age_gap(gap / 10), 9).alias("logit")).groupBy("a", "b").agg(F.max("logit").alias("logit"))
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.round(age_gap(gap / 10), 9).alias("logit"))
 
     entities, log = resolve(mentions, describe, score, threshold=-0.9, margin=0.0)
     merged = log.select(F.col("merged").alias("mention"), "round", "logit")

@@ -52,3 +52,29 @@ def test_twin_couples_of_common_names(spark):
     assert shuffled(spark, lambda: got.extend(r.id for r in twin_couples(f).collect())) < n * 150
     # Fathers of one year of birth; "marzo" and "marzi" are alike by .8.
     assert sorted(got) == sorted(a for a, b in combinations(range(n), 2) if a % 2 == b % 2)
+
+
+def test_best_of_a_task_are_shuffled_only(spark, sf, tmp_path):
+    n = 900
+    rows = spark.range(n).selectExpr("id + 1 as c_custkey", "cast(1 as long) as c_nationkey", "'BUILDING' as c_mktsegment", "cast(50 + id % 20 as double) as c_acctbal")
+    rows.write.parquet(str(tmp_path / "customer.parquet"))
+    from kinweave.plans.families import resolved_customers
+
+    got = []
+    assert shuffled(spark, lambda: got.extend(resolved_customers(spark, str(tmp_path)).collect())) < n * 200
+    assert sorted(r.mention for r in got) == list(range(1, n + 1))
+
+
+@pytest.mark.parametrize("margin", [0.0, 1e-9])
+def test_mutual_best_without_a_margin(spark, margin):
+    from kinweave.operators.resolve import mutual_best
+
+    logits = {(a, b): float((a * 7 + b * 5) % 4) for a, b in combinations(range(30), 2)}
+    best = {m: min((-v, p) for p, v in logits.items() if m in p)[1] for m in range(30)}
+    scored = spark.createDataFrame([(a, b, v) for (a, b), v in logits.items()], "a int, b int, logit double")
+    got = {(r.a, r.b) for r in mutual_best(scored, 0.0, margin).collect()}
+    want = {p for p in best.values() if best[p[0]] == best[p[1]]}
+    if margin:
+        alone = lambda m: sum(v == logits[best[m]] for p, v in logits.items() if m in p) == 1
+        want = {p for p in want if alone(p[0]) and alone(p[1])}
+    assert got == want
