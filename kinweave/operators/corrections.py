@@ -145,9 +145,13 @@ def same_person_elsewhere(rows: DataFrame, glossary: DataFrame, tolerance: int =
     ``rows``: ``name, surname, year, age``; ``glossary``: ``form, target``.
     """
     people = rows.where(F.col("age") >= least_age).select(F.lower("name").alias("name"), "surname", (F.col("year") - F.col("age")).alias("born")).where("name is not null and surname is not null")
-    left = glossary.join(people.withColumnRenamed("surname", "form"), "form").withColumn("slot", F.explode(F.sequence(F.col("born") - tolerance, F.col("born") + tolerance)))
-    right = people.select("name", F.col("surname").alias("target"), F.col("born").alias("slot"))
-    return left.join(right, ["name", "target", "slot"]).groupBy("form", "target").agg(F.count("*").alias("cases"))
+    # Mentions alike in all three are one row with their number: pairs are counted, not spelled out.
+    people = people.groupBy("name", "surname", "born").agg(F.count("*").alias("n"))
+    # For each year, how many were born at most so far from it.
+    near = people.select("name", F.col("surname").alias("target"), F.explode(F.sequence(F.col("born") - tolerance, F.col("born") + tolerance)).alias("born"), "n")
+    near = near.groupBy("name", "target", "born").agg(F.sum("n").alias("others"))
+    left = glossary.join(people.withColumnRenamed("surname", "form"), "form")
+    return left.join(near, ["name", "target", "born"]).groupBy("form", "target").agg(F.sum(F.col("n") * F.col("others")).alias("cases"))
 
 
 def family_in_one_act(rows: DataFrame, links: DataFrame, glossary: DataFrame) -> DataFrame:

@@ -210,10 +210,25 @@ def interpreted(rows: DataFrame, corrections: DataFrame) -> DataFrame:
     return out.drop("s", "t", "p", "f", "tail", "tail_balance", "new_name", "new_surname", "new_age")
 
 
+#: So many pages of a register are ordered in one task.
+PAGES_A_SPAN = 1000
+
+
 def neighbour_acts(acts: DataFrame) -> DataFrame:
-    """``act, before, after``: the act before and after in its register, by page and place."""
-    order = Window.partitionBy("register").orderBy("page", "act")
-    return acts.select("act", F.lag("act").over(order).alias("before"), F.lead("act").over(order).alias("after"))
+    """``act, before, after``: the act before and after in its register, by page and place.
+
+    A register is ordered by spans of pages, each by itself, with the last act of the span
+    before and the first of the span after as its ends: a long register is not one task's.
+    """
+    placed = acts.select("act", "register", "page", F.floor(F.col("page") / PAGES_A_SPAN).alias("span"))
+    at = F.struct("page", "act")
+    spans = placed.groupBy("register", "span").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    row = Window.partitionBy("register").orderBy("span")  # one row a span
+    spans = spans.withColumns({"before": F.lag("last").over(row), "after": F.lead("first").over(row)})
+    end = lambda side, place: spans.where(f"{side} is not null").select(F.col(f"{side}.act").alias("act"), "register", F.col(f"{side}.page").alias("page"), "span", F.lit(place).alias("place"))
+    laid = placed.withColumn("place", F.lit(0)).unionByName(end("before", -1)).unionByName(end("after", 1))
+    order = Window.partitionBy("register", "span").orderBy("place", "page", "act")
+    return laid.select("act", "place", F.lag("act").over(order).alias("before"), F.lead("act").over(order).alias("after")).where("place = 0").drop("place")
 
 
 def copied_from_neighbours(proposals: DataFrame, rows: DataFrame, acts: DataFrame, least: int = 2) -> DataFrame:
