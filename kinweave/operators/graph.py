@@ -36,8 +36,8 @@ def _peel(left: DataFrame) -> DataFrame:
     size = left.count()
     while True:
         outs, ins = left.select("a").distinct(), left.select(F.col("b").alias("a")).distinct()
-        both = outs.join(ins, "a", "left_semi")
-        left = materialise(left.join(both, "a", "left_semi").join(both.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b"), "peel")
+        both = outs.hint("merge").join(ins, "a", "left_semi")
+        left = materialise(left.hint("merge").join(both, "a", "left_semi").hint("merge").join(both.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b"), "peel")
         now = left.count()
         if now == size:
             return left
@@ -52,8 +52,8 @@ def _spread(labels: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         now = labels.select("node", "c", F.col("c").alias("was"))
         for _ in range(3):
-            came = edges.join(now.select(F.col("node").alias("a"), "c"), "a").groupBy(F.col("b").alias("node")).agg(F.max("c").alias("m"))
-            now = now.join(came, "node", "left").select("node", F.greatest("c", F.coalesce("m", "c")).alias("c"), "was")
+            came = edges.hint("merge").join(now.select(F.col("node").alias("a"), "c"), "a").groupBy(F.col("b").alias("node")).agg(F.max("c").alias("m"))
+            now = now.hint("merge").join(came, "node", "left").select("node", F.greatest("c", F.coalesce("m", "c")).alias("c"), "was")
         fresh = materialise(now, "spread")
         changed = fresh.where("c <> was").limit(1).count()
         labels = fresh.select("node", "c")
@@ -68,6 +68,7 @@ def cycle_nodes(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     reaches it as its colour; going back from a colour's own node along edges of one
     colour finds what it can reach and what reaches it. Those are taken out, and the rest
     is peeled and coloured again. Rounds grow with the length of paths, not with the table.
+    Nodes and edges are shuffled in every round, never sent whole through the driver.
     """
     left = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct(), "peel")
     found = left.where("a = b").select(F.col("a").alias("node"))
@@ -79,14 +80,14 @@ def cycle_nodes(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         nodes = left.select(F.col("a").alias("node")).distinct()
         colour = _spread(nodes.withColumn("c", F.col("node")), left)
         of = lambda end: colour.select(F.col("node").alias(end), F.col("c").alias(f"c{end}"))
-        inside = materialise(left.join(of("a"), "a").join(of("b"), "b").where("ca = cb").select(F.col("b").alias("a"), F.col("a").alias("b"), "ca"), "cycle-inside")
+        inside = materialise(left.hint("merge").join(of("a"), "a").hint("merge").join(of("b"), "b").where("ca = cb").select(F.col("b").alias("a"), F.col("a").alias("b"), "ca"), "cycle-inside")
         # Back from each colour's own node: 1 is reached, 0 is not.
         back = _spread(colour.select("node", F.when(F.col("node") == F.col("c"), 1).otherwise(0).alias("c")), inside)
-        strong = materialise(back.where("c = 1").select("node").join(colour, "node"), "cycle-strong")
+        strong = materialise(back.where("c = 1").select("node").hint("merge").join(colour, "node"), "cycle-strong")
         several = strong.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c")
-        found = materialise(found.unionByName(strong.join(several, "c", "left_semi").select("node")), "cycle-found")
+        found = materialise(found.unionByName(strong.hint("merge").join(several, "c", "left_semi").select("node")), "cycle-found")
         gone = strong.select("node")
-        left = left.join(gone, left.a == gone.node, "left_anti").join(gone, F.col("b") == gone.node, "left_anti")
+        left = left.hint("merge").join(gone, left.a == gone.node, "left_anti").hint("merge").join(gone, F.col("b") == gone.node, "left_anti")
 
 
 #: Each hop is one more join of one plan.
