@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions.text import MARKED, PLAIN, canonical, name_parts
 from kinweave.operators import blocking, interpret
+from kinweave.session import materialise
 from kinweave.sources.tables import table
 
 MEN = ("Giuseppe", "Domenico", "Nicola", "Antonio", "Vincenzo", "Michele", "Carmine", "Luca", "Andrea", "Filippo", "Celeste", "Amabile")
@@ -250,7 +251,7 @@ PARENT_COLUMNS = f"""WITH {_VILLAGE} SELECT act, CASE WHEN count(*) FILTER (role
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``kind, key, id`` of all kinds of block of the principals of acts."""
-    rows = mentions(spark, sf_dir)
+    rows = materialise(mentions(spark, sf_dir).select("id", "act", "type", "role", "name", "surname", "trade", "status"), "village")  # read six times
     links = interpret.act_families(rows)
     people = rows.select("id", canonical(F.col("surname")).alias("house"), name_parts(F.col("name")).alias("parts"), F.lower("trade").alias("office"), F.lit(None).cast("string").alias("patronymic"))
     kin = links.select("id", F.explode(F.array(F.struct(F.lit("father").alias("kind"), F.col("father").alias("other")), F.struct(F.lit("mother").alias("kind"), F.col("mother").alias("other")))).alias("k")).select("id", "k.kind", "k.other")
