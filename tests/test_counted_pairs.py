@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kinweave.operators import corrections, interpret
+from kinweave.operators import corrections, interpret, linkage
 
 
 def most_rows(spark, run):
@@ -43,3 +43,15 @@ def test_a_register_is_not_one_task_s(spark):
     acts = spark.range(20000).select(F.col("id").alias("act"), F.lit("r").alias("register"), F.col("id").alias("page"))
     parts = interpret.neighbour_acts(acts).select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.count("*"), F.max("count"))
     assert parts.first()[1] < 20000
+
+
+def test_cards_gather_only_what_is_asked(spark):
+    rows = spark.createDataFrame([(1, 10, "newborn", "Anna", "Bruno", 1850, None), (2, 10, "father", "Luca", "Bruno", 1850, 30), (3, 11, "deceased", "Anna", "Bruno", 1870, 20)], "id long, act long, role string, name string, surname string, year int, age int")
+    rows = rows.selectExpr("*", "lower(surname) as house", "'F' as sex", "cast(null as string) as status", "cast(null as string) as trade", "'via' as place")
+    links = spark.createDataFrame([(1, 2, None, None)], "id long, father long, mother long, spouse long")
+    linked = linkage.refresh(rows, links, spark.createDataFrame([(1, 1), (2, 2), (3, 1)], "mention long, entity long"))
+    kin = ["fathers", "mothers", "spouses", "children", "spouse_names", "first_child", "last_child"]
+    whole, some = linkage.cards(rows, linked, links), linkage.cards(rows, linked, links, {"size", "births"})
+    assert some.columns == ["entity", "births", "size", *kin]
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.select(some.columns).collect()))
+    assert "trades" not in some._jdf.queryExecution().optimizedPlan().toString()
