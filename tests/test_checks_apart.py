@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.operators import family
+from kinweave.operators import family, people
 from kinweave.operators.family import CHECKS, Family
 from kinweave.session import gathered
 
@@ -37,6 +37,23 @@ def test_scorecard_counts_each_check_apart(spark, village):
     assert sum(n > 0 for n in found.values()) > 12
 
 
+def test_questions_are_gathered_check_by_check(spark, village):
+    got = people.question_queue(village)
+    assert nodes(got).count("Scan") <= 12
+    asked = {}
+    for r in got.collect():
+        asked.setdefault(r.check, set()).add(r.id)
+    of = {i: {h, w} for i, h, w in village.unions.select("id", "husband", "wife").collect()}
+    known = {r.id for r in village.people.collect() if r.id is not None}
+    want = {}
+    for name, (_, check, population) in CHECKS.items():
+        ids = {r[0] for r in check(village).collect()}
+        ids = {p for i in ids for p in of[i]} if population in people.OF_UNIONS else ids
+        if ids & known:
+            want[name] = ids & known
+    assert asked == want
+
+
 @pytest.mark.parametrize("name", sorted(set(CHECKS) - {"own_ancestor"}))
 def test_no_check_broadcasts_a_table(village, name):
     assert "Broadcast" not in nodes(CHECKS[name][1](village.written()))
