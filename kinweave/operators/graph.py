@@ -11,26 +11,43 @@ from kinweave.session import materialise
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` for every node of an undirected edge table.
 
-    The component is its smallest node. Each round takes the smallest label among the
-    neighbours and then jumps to that label's own label, so that stars settle in two
-    rounds and long paths in about the logarithm of their length. Null ends and loops
-    are left out; repeated edges do no harm; an empty table gives an empty table. Labels
-    are shuffled in every round, never sent whole through the driver.
+    The component is its smallest node. In a round every node hangs on the smallest of
+    itself and its neighbours, chains of these are followed to their end (the logarithm of
+    their length), and the edges are rewritten between the ends: each end has taken in a
+    neighbour at least, so the nodes left are half as many or fewer, and the next round
+    is that much smaller. Null ends and loops are left out; repeated edges do no harm; an
+    empty table gives an empty table. Nodes and edges are shuffled in every round, never
+    sent whole through the driver.
     """
-    pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
-    both = materialise(pairs.union(pairs.select("b", "a")).distinct(), "cc-edges")
-    labels = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "cc-labels")
+    left = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
+    left = materialise(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges")
+    labels = None
     while True:
-        near = both.hint("merge").join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("m"))
-        lower = labels.hint("merge").join(near, labels.node == near.a).select("node", F.least("component", "m").alias("c"), F.col("component").alias("was"))
-        root = labels.select(F.col("node").alias("c"), F.col("component").alias("root"))
-        fresh = materialise(lower.hint("merge").join(root, "c", "left").select("node", F.least("c", "root").alias("component"), "was"), "cc-labels")
-        changed = fresh.where("component <> was").limit(1).count()
-        labels = fresh.select("node", "component")
-        if not changed:
+        ends = left.select(F.col("a").alias("node"), F.col("b").alias("near")).unionByName(left.select(F.col("b").alias("node"), F.col("a").alias("near")))
+        hung = _ends_of_chains(ends.groupBy("node").agg(F.min("near").alias("m")).select("node", F.least("node", "m").alias("end")))
+        if labels is None:
+            labels = hung.select("node", F.col("end").alias("component"))
+        else:
+            moved = hung.select(F.col("node").alias("component"), "end")
+            labels = materialise(labels.hint("merge").join(moved, "component", "left").select("node", F.coalesce("end", "component").alias("component")), "cc-labels")
+        of = lambda side: hung.select(F.col("node").alias(side), F.col("end").alias(f"e{side}"))
+        onward = left.hint("merge").join(of("a"), "a").hint("merge").join(of("b"), "b").where("ea <> eb")
+        left = materialise(onward.select(F.least("ea", "eb").alias("a"), F.greatest("ea", "eb").alias("b")).distinct(), "cc-edges")
+        if left.isEmpty():
             return labels
 
 
+def _ends_of_chains(chains: DataFrame) -> DataFrame:
+    """``node, end`` of chains ``node, end`` that lead each node to a smaller one, or to itself at the end: followed to the end by pointer jumping."""
+    now = materialise(chains.select("node", "end"), "cc-hung")
+    while True:
+        after = now.select(F.col("node").alias("end"), F.col("end").alias("then"))
+        fresh = materialise(now.hint("merge").join(after, "end").select("node", F.col("then").alias("end"), (F.col("then") != F.col("end")).alias("moved")), "cc-hung")
+        now = fresh.select("node", "end")
+        if not fresh.where("moved").limit(1).count():
+            return now
+
+
 def _peel(left: DataFrame) -> DataFrame:
     """Edges whose ends both have an edge in and an edge out, after taking away all others until none is; written down each round."""
     size = left.count()

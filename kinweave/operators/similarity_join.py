@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions.similarity import CHEAP, CONFUSED, GROUPS
@@ -23,15 +23,16 @@ def one_edit_keys(form: Column) -> Column:
 def one_edit_pairs(forms: DataFrame, form: str = "form") -> DataFrame:
     """``a, b, distance`` with ``a < b`` of all distinct forms at Levenshtein distance 1.
 
-    An equi-join on shared deletions: a key is shared by few forms (an alphabet's worth
+    Forms meet by shared deletions: a key is shared by few forms (an alphabet's worth
     for each place), so no bucket grows with the table; what two keys' hashes have in common
-    by chance falls to the distance. The keys are a form's length times its rows, which the
-    planner's estimate of a small table of forms does not see, so both sides are shuffled and
-    none is sent whole through the driver. Null and empty forms match nothing.
+    by chance falls to the distance. The keys are a form's length times its rows: they are
+    shuffled and sorted once, and each form of a key is beside those before it. Null and
+    empty forms match nothing.
     """
     keyed = forms.where(F.col(form).isNotNull() & (F.col(form) != "")).select(F.col(form).alias("a")).distinct()
     keyed = keyed.withColumn("key", F.explode(one_edit_keys(F.col("a"))))
-    pairs = keyed.hint("merge").join(keyed.withColumnRenamed("a", "b"), "key").where("a < b").select("a", "b")
+    before = F.collect_list("a").over(Window.partitionBy("key").orderBy("a").rowsBetween(Window.unboundedPreceding, -1))
+    pairs = keyed.select(F.col("a").alias("b"), before.alias("before")).select(F.explode("before").alias("a"), "b")
     return pairs.withColumn("distance", F.levenshtein("a", "b", 1)).where("distance = 1").distinct()
 
 
