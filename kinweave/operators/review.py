@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.session import materialise
+
 
 def index_disagreement(index: DataFrame, records: DataFrame, register: str, name: str) -> DataFrame:
     """``register, both, only_index, only_records``: distinct names of each register on either side."""
@@ -21,19 +23,21 @@ def glossary_audit(tokens: DataFrame, glossary: DataFrame, least: int = 3) -> Da
 
     ``tokens``: ``doc_id, word`` (repeats count); ``glossary``: ``form, target``. An entry is
     suspect if both words stand together in at least ``least`` documents, or if the form is
-    the commoner. Each document is read once for the words that the glossary names. The
-    glossary grows with the words, so it is shuffled, never sent whole through the driver.
+    the commoner. Documents are read once: the words of each are counted where they are read
+    and written down, and only entries that the counts leave open are looked for in
+    documents. The glossary grows with the words, so it is shuffled, never sent whole
+    through the driver.
     """
-    listed = glossary.select("form", "target").distinct()
-    named = listed.select(F.explode(F.array("form", "target")).alias("word")).distinct()
-    used = tokens.hint("merge").join(named, "word").groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-    totals = used.groupBy("word").agg(F.sum("n").alias("n"))
-    pairs = listed.hint("merge").join(used.select("doc_id", F.col("word").alias("form")), "form").hint("merge").join(used.select("doc_id", F.col("word").alias("target")), ["doc_id", "target"])
+    listed = materialise(glossary.select("form", "target").distinct(), "glossary")
+    used = materialise(tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n")), "glossary-used")
+    totals = materialise(used.groupBy("word").agg(F.sum("n").alias("n"), F.count("doc_id").alias("docs")), "glossary-totals")
+    side = lambda c: totals.select(F.col("word").alias(c), F.col("n").alias(f"{c}_n"), F.col("docs").alias(f"{c}_docs"))
+    entries = listed.hint("merge").join(side("form"), "form").hint("merge").join(side("target"), "target")
+    open_ = materialise(entries.where((F.least("form_docs", "target_docs") >= least) | (F.col("form_n") > F.col("target_n"))), "glossary-open")
+    pairs = open_.select("form", "target").hint("merge").join(used.select("doc_id", F.col("word").alias("form")), "form").hint("merge").join(used.select("doc_id", F.col("word").alias("target")), ["doc_id", "target"])
     together = pairs.groupBy("form", "target").agg(F.count("*").alias("together"))
     out = (
-        listed.hint("merge").join(together, ["form", "target"], "left")
-        .hint("merge").join(totals.select(F.col("word").alias("form"), F.col("n").alias("form_n")), "form")
-        .hint("merge").join(totals.select(F.col("word").alias("target"), F.col("n").alias("target_n")), "target")
+        open_.hint("merge").join(together, ["form", "target"], "left")
         .select("form", "target", F.coalesce("together", F.lit(0)).alias("together"), "form_n", "target_n")
     )
     return out.where((F.col("together") >= least) | (F.col("form_n") > F.col("target_n")))
